@@ -22,7 +22,8 @@ def english_name(title: Column) -> Column:
 
 def first_date(c: Column) -> Column:
     """The first run of eight digits as a date; null where it is not one."""
-    return F.try_to_date(F.regexp_extract(c, r"(\d{8})", 1), "yyyyMMdd")
+    digits = F.regexp_extract(c, r"(\d{8})", 1)
+    return F.try_to_date(F.nullif(digits, F.lit("")), "yyyyMMdd")
 
 
 def event_category(name: Column) -> Column:
@@ -60,9 +61,8 @@ def resolve_link(page_url: Column, href: Column) -> Column:
     """Absolute address of a link found on a page.
 
     A link that names a host (``http://x/..``, ``//x/..``) or another scheme
-    (``mailto:``) stays as it is.
+    (``mailto:``) stays as it is. ``href`` must have no white space around it.
     """
-    href = strip(href)
     bare = F.regexp_extract(page_url, r"^([^?#]*)", 1)
     origin = F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page_path = F.regexp_extract(page_url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)

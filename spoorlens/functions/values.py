@@ -8,36 +8,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Whole part of a plain decimal number, as in "12.0".
-_WHOLE_PART = r"^\s*([+-]?\d+)\.\d*\s*$"
+# A plain number, of which the whole part is taken: "12", " 12 ", "12.0".
+_WHOLE_PART = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_int(c: str | Column) -> Column:
+def _filled(c: str | Column) -> Column:
+    """Null for a blank. A cast that fails costs far more than one of null, and files
+    leave many values blank."""
     c = _col(c)
-    return F.coalesce(
-        c.try_cast("int"),
-        F.regexp_extract(c.cast("string"), _WHOLE_PART, 1).try_cast("int"),
-    )
+    return F.when(c.cast("string") != "", c)
+
+
+def to_int(c: str | Column) -> Column:
+    return _filled(F.regexp_extract(_col(c).cast("string"), _WHOLE_PART, 1)).try_cast("int")
 
 
 def to_double(c: str | Column) -> Column:
-    return _col(c).try_cast("double")
+    return _filled(c).try_cast("double")
 
 
 def to_flag(c: str | Column) -> Column:
-    return _col(c).try_cast("boolean")
+    return _filled(c).try_cast("boolean")
 
 
 def to_day(c: str | Column) -> Column:
-    return _col(c).try_cast("date")
+    return _filled(c).try_cast("date")
 
 
 def to_instant(c: str | Column) -> Column:
-    return _col(c).try_cast("timestamp")
+    return _filled(c).try_cast("timestamp")
 
 
 def station_key(c: str | Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from spoorlens.functions.text import file_name, resolve_link, strip, unescape_attribute
+from spoorlens.functions.values import to_int
 
 # --- fixed values: file names ---------------------------------------------------
 SERVICES_YEARLY = r"^services-(\d{4})\.csv\.gz$"
@@ -30,15 +31,18 @@ def _href(tag):
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per anchor link of each page: other columns, ``pos`` and ``link``."""
+    """One row per anchor link of each page: other columns, ``pos`` and ``link``.
+
+    Links are resolved inside the array, before it is exploded: filters on the link then
+    apply to a finished column, where they would otherwise repeat the whole extraction.
+    """
     visible = F.regexp_replace(F.col(html), _OPAQUE, "")
+    tags = F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(0))
+    hrefs = F.filter(F.transform(tags, _href), lambda h: h.isNotNull())
+    clean = F.transform(hrefs, lambda h: strip(unescape_attribute(h)))
+    links = F.transform(clean, lambda h: resolve_link(F.col(url), h))
     keep = [c for c in pages.columns if c != html]
-    return (
-        pages.select(*keep, F.posexplode(F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(0))).alias("pos", "_tag"))
-        .withColumn("_href", _href(F.col("_tag")))
-        .filter(F.col("_href").isNotNull())
-        .select(*keep, "pos", resolve_link(F.col(url), strip(unescape_attribute(F.col("_href")))).alias("link"))
-    )
+    return pages.select(*keep, F.posexplode(links).alias("pos", "link"))
 
 
 def named_files(links: DataFrame, link: str = "link") -> DataFrame:
@@ -53,8 +57,8 @@ def service_files(files: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
     join can always be broadcast and no year has to sit in one task.
     """
     name = F.col("file_name")
-    yearly = F.regexp_extract(name, SERVICES_YEARLY, 1).try_cast("int")
-    monthly = F.regexp_extract(name, SERVICES_MONTHLY, 1).try_cast("int")
+    yearly = to_int(F.regexp_extract(name, SERVICES_YEARLY, 1))
+    monthly = to_int(F.regexp_extract(name, SERVICES_MONTHLY, 1))
     matched = files.withColumns({
         "year": F.coalesce(yearly, monthly), "is_yearly": yearly.isNotNull(),
     }).filter(F.col("year") >= first_year)
@@ -66,10 +70,22 @@ def service_files(files: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
 
 
 def disruption_files(files: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
-    year = F.regexp_extract("file_name", DISRUPTIONS_YEARLY, 1).try_cast("int")
+    year = to_int(F.regexp_extract("file_name", DISRUPTIONS_YEARLY, 1))
     return files.withColumn("year", year).filter(F.col("year") >= first_year).orderBy("file_name")
 
 
+def known_files(files: DataFrame) -> DataFrame:
+    """Only files of a known kind, with ``dataset``."""
+    name = F.col("file_name")
+    dataset = (
+        F.when(name.rlike(SERVICES_YEARLY) | name.rlike(SERVICES_MONTHLY), "services")
+        .when(name.rlike(DISRUPTIONS_YEARLY), "disruptions")
+        .when(name == STATIONS_FILE, "stations")
+        .when(name == DISTANCES_FILE, "tariff_distances")
+    )
+    return files.withColumn("dataset", dataset).filter(F.col("dataset").isNotNull())
+
+
 def exact_file(files: DataFrame, wanted: str, order: list[str]) -> DataFrame:
     """The first link to the named file."""
     return files.filter(F.col("file_name") == wanted).orderBy(*order).limit(1)

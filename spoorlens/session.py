@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Parquet files written by other tools: no calendar rebase, microsecond output,
 # and nanosecond columns (which Spark has no type for) read as plain long.
@@ -47,3 +47,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="spoorlens-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back.
+
+    For a table that several steps read: it is computed once, each step reads only the
+    columns it needs, and a lost executor costs a read instead of the work above.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

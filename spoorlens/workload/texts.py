@@ -11,6 +11,7 @@ from spoorlens.operators.intervals import seconds
 from spoorlens.operators.keep_one import keep_one
 from spoorlens.operators.stops import explode_codes as split_codes
 from spoorlens.plans import jobs
+from spoorlens.session import staged
 from spoorlens.workload import roles
 from spoorlens.workload.delays import REPEAT_SQL
 from spoorlens.workload.registry import plain, query, r6, table
@@ -240,7 +241,8 @@ WITH {DOWNLOADS_SQL}
 SELECT CAST(y AS INT) AS year, services AS file_name, 'https://data.example/files/' || services || '?v=1' AS link, o_orderkey::VARCHAR AS page
 FROM chosen""")
 def manifest_select(spark, folder):
-    files = manifest.named_files(manifest.page_links(_download_pages(spark, folder)))
+    links = manifest.page_links(_download_pages(spark, folder))
+    files = staged(manifest.known_files(manifest.named_files(links)), "files")
     return manifest.service_files(files, first_year=1996).select(
         "year", "file_name", "link", F.regexp_extract("url", r"(\d+)$", 1).alias("page")
     )
