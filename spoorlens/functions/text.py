@@ -10,7 +10,7 @@ CLOCK_CHANGES = ["summer time", "winter time"]
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space, where ``trim`` removes spaces only."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def english_name(title: Column) -> Column:
@@ -32,11 +32,17 @@ def event_category(name: Column) -> Column:
 
 def unescape_attribute(c: Column) -> Column:
     """The character references that occur in links; ``&amp;`` last."""
+    plain = c
     for entity, char in [("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
                          ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"),
                          ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")]:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+        plain = F.replace(plain, F.lit(entity), F.lit(char))
+    return F.when(c.contains("&"), plain).otherwise(c)
+
+
+def unquote(c: Column) -> Column:
+    quoted = c.startswith('"') | c.startswith("'")
+    return F.when(quoted, F.substr(c, F.lit(2), F.length(c) - 2)).otherwise(c)
 
 
 def _without_dots(path: Column) -> Column:
@@ -57,28 +63,38 @@ def _without_dots(path: Column) -> Column:
     return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), closed).otherwise(path)
 
 
-def resolve_link(page_url: Column, href: Column) -> Column:
-    """Absolute address of a link found on a page.
+def page_address(url: Column) -> dict[str, Column]:
+    """The parts of a page's address that its links are resolved with."""
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    return {
+        "page": F.regexp_extract(url, r"^([^#]*)", 1),
+        "bare": F.regexp_extract(url, r"^([^?#]*)", 1),
+        "origin": F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1),
+        "folder": F.when(path == "", "/").otherwise(F.regexp_extract(path, r"^(.*/)", 1)),
+    }
+
+
+def resolve_link(url: Column, address: dict[str, Column], href: Column) -> Column:
+    """Absolute address of a link found on the page ``url`` with that ``page_address``.
 
     A link that names a host (``http://x/..``, ``//x/..``) or another scheme
-    (``mailto:``) stays as it is. ``href`` must have no white space around it.
+    (``mailto:``) stays as it is. ``href`` must have no white space around it. The
+    commonest kind, ``/path``, is decided by plain text comparison.
     """
-    bare = F.regexp_extract(page_url, r"^([^?#]*)", 1)
-    origin = F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    page_path = F.regexp_extract(page_url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    folder = F.when(page_path == "", F.lit("/")).otherwise(
-        F.regexp_extract(page_path, r"^(.*/)", 1)
-    )
     href_path = F.regexp_extract(href, r"^([^?#]*)", 1)
     href_tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    rooted = F.when(~href.contains("/."), F.concat(address["origin"], href)).otherwise(
+        F.concat(address["origin"], _without_dots(href_path), href_tail)
+    )
+    below = F.concat(address["origin"], _without_dots(F.concat(address["folder"], href_path)), href_tail)
     return (
-        F.when(href.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]") , href)
-        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(href == "", page_url)
-        .when(href.startswith("#"), F.concat(F.regexp_extract(page_url, r"^([^#]*)", 1), href))
-        .when(href.startswith("?"), F.concat(bare, href))
-        .when(href.startswith("/"), F.concat(origin, _without_dots(href_path), href_tail))
-        .otherwise(F.concat(origin, _without_dots(F.concat(folder, href_path)), href_tail))
+        F.when(href.startswith("/") & ~href.startswith("//"), rooted)
+        .when(href.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:|//[^/?#])"), href)
+        .when(href == "", url)
+        .when(href.startswith("#"), F.concat(address["page"], href))
+        .when(href.startswith("?"), F.concat(address["bare"], href))
+        .when(href.startswith("/"), rooted)
+        .otherwise(below)
     )
 
 

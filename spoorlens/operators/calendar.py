@@ -34,23 +34,30 @@ def events_in_text(df: DataFrame, text: str, order: list[Column]) -> DataFrame:
         unfolded, F.lit(r"(?ms)^[ \t]*BEGIN:VEVENT(.*?)^[ \t]*END:VEVENT"), F.lit(1)
     )
     # An event that was begun twice counts from its last beginning.
-    block = F.substring_index(F.col("_block"), "BEGIN:VEVENT", -1)
+    inner = F.transform(blocks, lambda b: F.substring_index(b, "BEGIN:VEVENT", -1))
 
-    def last_line(pattern: str) -> Column:
+    def last_line(block: Column, pattern: str) -> Column:
         return F.try_element_at(F.regexp_extract_all(block, F.lit(pattern), F.lit(1)), F.lit(-1))
 
-    start = last_line(r"(?m)^[ \t]*DTSTART([^\r\n]*)")
-    value = F.when(start.contains(":"), F.regexp_extract(start, r"^[^:]*:(.*)$", 1)).otherwise(start)
-    name = english_name(last_line(r"(?m)^[ \t]*SUMMARY[^:\r\n]*:([^\r\n]*)"))
+    lines = F.transform(inner, lambda b: F.struct(
+        last_line(b, r"(?m)^[ \t]*DTSTART([^\r\n]*)").alias("start"),
+        last_line(b, r"(?m)^[ \t]*SUMMARY[^:\r\n]*:([^\r\n]*)").alias("title"),
+    ))
+    # The value follows the first colon; without one the whole line is searched.
+    fields = F.transform(lines, lambda e: F.struct(
+        first_date(F.regexp_replace(e["start"], r"^[^:]*:", "")).alias("event_date"),
+        english_name(e["title"]).alias("name"),
+    ))
+    # Parsed inside the array: the filter then applies to finished columns.
     return (
-        df.select(F.array(*order).alias("_from"), F.posexplode(blocks).alias("_pos", "_block"))
+        df.select(F.array(*order).alias("_from"), F.posexplode(fields).alias("_pos", "_event"))
+        .filter(F.col("_event.event_date").isNotNull())
         .select(
-            first_date(value).alias("event_date"),
-            name.alias("name"),
-            event_category(name).alias("category"),
+            "_event.event_date",
+            "_event.name",
+            event_category(F.col("_event.name")).alias("category"),
             F.struct("_from", "_pos").alias("seq"),
         )
-        .filter(F.col("event_date").isNotNull())
     )
 
 

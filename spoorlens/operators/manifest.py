@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from spoorlens.functions.text import file_name, resolve_link, strip, unescape_attribute
+from spoorlens.functions.text import (
+    file_name, page_address, resolve_link, strip, unescape_attribute, unquote,
+)
 from spoorlens.functions.values import to_int
 
 # --- fixed values: file names ---------------------------------------------------
@@ -26,8 +28,7 @@ def _href(tag):
     """Value of the last href of a tag, null without one and empty for a bare href."""
     attributes = F.regexp_extract_all(F.substr(tag, F.lit(3)), F.lit(_ATTRIBUTE), F.lit(0))
     named = F.filter(attributes, lambda a: a.rlike(r"(?i)^href\s*(=|$)"))
-    value = F.regexp_extract(F.try_element_at(named, F.lit(-1)), r"(?s)^[^=]*=\s*(.*)$", 1)
-    return F.regexp_replace(value, r"""^["']|["']$""", "")
+    return F.regexp_extract(F.try_element_at(named, F.lit(-1)), r"(?s)^[^=]*=\s*(.*)$", 1)
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -36,13 +37,17 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     Links are resolved inside the array, before it is exploded: filters on the link then
     apply to a finished column, where they would otherwise repeat the whole extraction.
     """
+    keep = [c for c in pages.columns if c != html]
     visible = F.regexp_replace(F.col(html), _OPAQUE, "")
     tags = F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(0))
-    hrefs = F.filter(F.transform(tags, _href), lambda h: h.isNotNull())
-    clean = F.transform(hrefs, lambda h: strip(unescape_attribute(h)))
-    links = F.transform(clean, lambda h: resolve_link(F.col(url), h))
-    keep = [c for c in pages.columns if c != html]
-    return pages.select(*keep, F.posexplode(links).alias("pos", "link"))
+    parts = page_address(F.col(url))
+    # A step of its own: these are worked out once per page, not once per link.
+    per_page = pages.select(*keep, tags.alias("_tags"), *[c.alias(f"_{n}") for n, c in parts.items()])
+    address = {n: F.col(f"_{n}") for n in parts}
+    hrefs = F.filter(F.transform("_tags", _href), lambda h: h.isNotNull())
+    clean = F.transform(hrefs, lambda h: strip(unescape_attribute(unquote(h))))
+    links = F.transform(clean, lambda h: resolve_link(F.col(url), address, h))
+    return per_page.select(*keep, F.posexplode(links).alias("pos", "link"))
 
 
 def named_files(links: DataFrame, link: str = "link") -> DataFrame:

@@ -12,6 +12,7 @@ from spoorlens.operators.intervals import Intervals, Points
 from spoorlens.operators.keep_one import append_missing
 from spoorlens.operators.skew import keyed_join
 from spoorlens.schemas import CALENDAR_COLUMNS, REPORT_COLUMNS
+from spoorlens.session import staged
 from spoorlens.workload import roles
 from spoorlens.workload.registry import plain, query, r6, rounded, table
 
@@ -33,7 +34,8 @@ REPORT_DOUBLES = [
 def _report_calendar(spark, stops: DataFrame) -> DataFrame:
     feed = spark.createDataFrame([(NEW_YEAR_FEED,)], "text string")
     events = calendar.events_in_text(feed, "text", [F.lit("")])
-    return calendar.full_calendar(events, roles.years_of(stops, "stop_arrival_ts"), LAST_FEED_YEAR)
+    years = roles.years_of(stops, "stop_arrival_ts")
+    return staged(calendar.full_calendar(events, years, LAST_FEED_YEAR), "calendar")
 
 
 @query(f"""
