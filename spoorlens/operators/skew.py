@@ -21,19 +21,19 @@ MAX_HOT_KEYS = 10_000
 
 
 def fits_in_memory(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
-    """Count (one job, stops early) whether ``df`` is small enough to broadcast."""
+    """Whether ``df`` is small enough to broadcast.
+
+    Only the width of each row is computed, and ``take`` reads one partition, then a few
+    more, until it has seen too many rows: a large table costs a look at its beginning.
+    """
     if max_rows <= 0:
         return False
-    wide = [c for c, t in df.dtypes if t in ("string", "binary")]
-    flat = 16 * len(df.columns)
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long") for c in wide],
-        F.lit(flat).cast("long"),
-    )
-    head = df.select(width.alias("w")).limit(max_rows + 1)
-    rows, size = head.agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    texts = [F.octet_length(c) for c, t in df.dtypes if t in ("string", "binary")]
+    width = F.lit(16 * len(df.columns))
+    for text in texts:
+        width = width + F.coalesce(text, F.lit(0))
+    seen = df.select(width.cast("long")).take(max_rows + 1)
+    return len(seen) <= max_rows and sum(r[0] for r in seen) <= max_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -93,13 +93,11 @@ def keyed_join(
         return df.join(fan, same, "left").drop(*helpers)
 
     # The salt follows from the row and its input partition, so a lost task that runs
-    # again gives the same salt, and exact copies spread over the partitions they come from.
+    # again gives the same salt, and exact copies spread over the partitions they come
+    # from. It is worked out for rows of hot keys only.
     row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
-    salted_left = (
-        with_fan(left.withColumn("_row", row_hash), left_keys)
-        .withColumn("_salt_l", F.when(F.col("_fan").isNotNull(), F.pmod(F.col("_row"), F.col("_fan"))).otherwise(0).cast("int"))
-        .drop("_fan", "_row")
-    )
+    salt = F.when(F.col("_fan").isNotNull(), F.pmod(row_hash, F.col("_fan"))).otherwise(0)
+    salted_left = with_fan(left, left_keys).withColumn("_salt_l", salt.cast("int")).drop("_fan")
     salted_right = (
         with_fan(right.dropna(subset=right_keys), right_keys)
         .withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1)))

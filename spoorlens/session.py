@@ -21,15 +21,33 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
 }
 
+# Shuffles start with about this many bytes of input per partition. Adaptive execution
+# merges what turns out small, but does not divide more finely than the initial number.
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+
 REPORT_TIME_ZONE = "Europe/Amsterdam"
 
 
-def get_session(app: str, time_zone: str = REPORT_TIME_ZONE, **extra: str) -> SparkSession:
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input of that size: 200 at least, 200,000 at most."""
+    return max(200, min(200_000, input_bytes // BYTES_PER_SHUFFLE_PARTITION))
+
+
+def get_session(
+    app: str, time_zone: str = REPORT_TIME_ZONE, input_bytes: int = 0, **extra: str
+) -> SparkSession:
     """A session with the time zone pinned, since hours and dates depend on it."""
+    conf = {
+        **RUNTIME_CONF,
+        **PARQUET_CONF,
+        "spark.sql.session.timeZone": time_zone,
+        "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)),
+        **extra,
+    }
     builder = SparkSession.builder.appName(app)
-    conf = {**RUNTIME_CONF, **PARQUET_CONF, "spark.sql.session.timeZone": time_zone, **extra}
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -182,8 +182,8 @@ def interval_join_bucketed(spark, folder):
 
 @query(INTERVAL_SQL)
 def interval_join_salted(spark, folder):
-    """The form for sides beyond the broadcast bound, with low limits so that it is used."""
-    return _event_outages(spark, folder, bucket_seconds=6 * 3600, small_rows=0, hot_rows=2)
+    """The form for intervals beyond the broadcast bound."""
+    return _event_outages(spark, folder, bucket_seconds=6 * 3600, small_rows=0, hot_rows=1000)
 
 
 @query(f"""

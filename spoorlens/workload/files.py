@@ -213,14 +213,16 @@ master AS (
   LEFT JOIN disruptions ON d_code = s_code AND coalesce(dep, arr) BETWEEN d_start AND d_end)"""
 
 
-def _master(spark, folder) -> DataFrame:
+def _master(spark, folder) -> str:
+    """Folder of a master table built by the job from raw files."""
     services, stations, disruptions, out = (
         scratch_dir(spark, n) for n in ("services", "stations", "disruptions", "master")
     )
     _raw_services(spark, folder).write.option("header", True).option("compression", "gzip").csv(services)
     writers.write_csv(_raw_stations(spark, folder), stations, single=False)
     writers.write_csv(_raw_disruptions(spark, folder), disruptions, single=False)
-    return jobs.build_master(spark, services, stations, disruptions, out)
+    jobs.build_master(spark, services, stations, disruptions, out)
+    return out
 
 
 @query(f"""
@@ -233,7 +235,9 @@ SELECT CAST(event_id AS VARCHAR) AS stop_rdt_id, s_code AS stop_station_code, CA
   country AS station_country, round(geo_lat + 1.2345e-9, 6) AS station_geo_lat, cause AS disruption_cause_en,
   strftime(d_start, '%Y-%m-%d %H:%M:%S') AS disruption_start_time_ts FROM master""")
 def master_build(spark, folder):
-    master = rounded(_master(spark, folder), "stop_arrival_delay", "station_geo_lat")
+    master = rounded(
+        readers.read_parquet(spark, _master(spark, folder)), "stop_arrival_delay", "station_geo_lat"
+    )
     return plain(master.select(
         "stop_rdt_id", "stop_station_code", "service_train_number", "service_maximum_delay",
         "service_completely_cancelled", "service_partly_cancelled", "stop_arrival_delay",
@@ -270,8 +274,8 @@ SELECT CAST(event_id AS VARCHAR) AS stop_rdt_id, s_code AS stop_station_code, st
 WHERE event_ts IS NOT NULL""")
 def services_with_weather(spark, folder):
     """Master and consolidated stations from files, weather by the nearest station."""
-    master, stations, readings, out, mapping = (
-        scratch_dir(spark, n) for n in ("master", "stations", "readings", "with-weather", "mapping")
+    stations, readings, out, mapping = (
+        scratch_dir(spark, n) for n in ("stations", "readings", "with-weather", "mapping")
     )
     raw = scratch_dir(spark, "stations-raw")
     writers.write_csv(_raw_stations(spark, folder), raw, single=False)
@@ -280,8 +284,7 @@ def services_with_weather(spark, folder):
         F.col("station_code").alias("code"), F.col("station_geo_lat").alias("geo_lat"), F.col("station_geo_lng").alias("geo_lng"),
     ).write.parquet(stations)
     _raw_weather(spark, folder).write.parquet(readings)
-    _master(spark, folder).write.partitionBy("year", "month").parquet(master)
-    done = jobs.attach_weather(spark, master, stations, readings, out, mapping)["services_with_weather"]
+    done = jobs.attach_weather(spark, _master(spark, folder), stations, readings, out, mapping)["services_with_weather"]
     return plain(done.select("stop_rdt_id", "stop_station_code", "stop_event_ts", "weather_station", "T"))
 
 
@@ -299,13 +302,12 @@ SELECT CAST(service_date AS VARCHAR) AS service_date, hour, {roles.COUNTS_SQL},
 FROM per_service LEFT JOIN cal ON d = service_date GROUP BY service_date, hour""")
 def delay_report_job(spark, folder):
     """Master job, then the report job on its output with a calendar file."""
-    master, holidays, out = (scratch_dir(spark, n) for n in ("master", "holidays", "report"))
-    _master(spark, folder).write.partitionBy("year", "month").parquet(master)
+    holidays, out = (scratch_dir(spark, n) for n in ("holidays", "report"))
     busy = table(spark, folder, "events").filter(F.col("value") > 400).select(
         F.to_date("ts").alias("event_date"), F.lit("Busy day").alias("name"), F.lit("Holiday").alias("category")
     ).distinct()
     writers.write_csv(busy, holidays)
-    report = jobs.delay_report(spark, master, holidays, out)
+    report = jobs.delay_report(spark, _master(spark, folder), holidays, out)
     counts = ["services_in_hour", "completely_cancelled", "partly_cancelled", "delayed_count",
               "on_time_count", "short_delay_count", "long_delay_count"]
     return report.select(

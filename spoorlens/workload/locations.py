@@ -48,7 +48,7 @@ def nearest_station_haversine(spark, folder):
 @query(nearest_sql(PLANAR_ORDER))
 def nearest_station_shuffled(spark, folder):
     """The form for site tables beyond the broadcast bound."""
-    return _nearest(spark, folder, small_rows=0, hot_rows=50)
+    return _nearest(spark, folder, small_rows=0, hot_rows=1000)
 
 
 @query(f"""
@@ -149,7 +149,7 @@ def weather_instant_join(spark, folder):
 @query(WEATHER_ROWS_SQL)
 def weather_join_salted(spark, folder):
     """The form for weather tables beyond the broadcast bound."""
-    return _weather_rows(_with_weather(spark, folder, small_rows=0, hot_rows=2))
+    return _weather_rows(_with_weather(spark, folder, small_rows=0, hot_rows=1000))
 
 
 @query(f"""
