@@ -62,7 +62,8 @@ SELECT {roles.season_sql('service_date')} AS season, CAST(service_date AS VARCHA
 FROM hourly JOIN daily USING (service_date) LEFT JOIN holidays h ON h.event_date = service_date""")
 def hourly_delay_report(spark, folder):
     stops = roles.stops(spark, folder)
-    report = rollup.hourly_report(rollup.timed_stops(stops, skip_months=[(2025, 12)]))
+    per_service = rollup.service_hours(rollup.timed_stops(stops, skip_months=[(2025, 12)]))
+    report = rollup.hourly_report(staged(per_service, "service-hours"))
     full = rollup.attach_holidays(report, _report_calendar(spark, stops)).select(*REPORT_COLUMNS)
     return plain(rounded(full, *REPORT_DOUBLES))
 

@@ -159,7 +159,7 @@ WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.event_date = v.event_date AND b.n
 def calendar_build(spark, folder):
     events = calendar.events_in_text(_feed(spark, folder), "text", [F.format_string("%020d", "o_orderkey")])
     years = roles.years_of(table(spark, folder, "orders"), "o_orderdate")
-    return plain(calendar.full_calendar(events, years, 2003))
+    return plain(calendar.full_calendar(staged(events, "events"), years, 2003))
 
 
 @query(r"""

@@ -46,7 +46,7 @@ def test_small_side_is_broadcast_and_large_side_is_salted(spark):
 
 
 def test_report_aggregates_before_it_shuffles_and_reads_few_columns(spark):
-    text = plan(rollup.hourly_report(rollup.timed_stops(roles.stops(spark, FOLDER))))
+    text = plan(rollup.hourly_report(rollup.service_hours(rollup.timed_stops(roles.stops(spark, FOLDER)))))
     assert "partial_max" in text and "partial_avg" in text
     assert "props" not in text and "ReadSchema: struct<event_id" not in text
 
