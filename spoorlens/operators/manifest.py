@@ -32,10 +32,10 @@ def _href(tag):
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per anchor link of each page: other columns, ``pos`` and ``link``.
+    """One row per anchor link of each page: other columns, ``pos``, ``link``, ``file_name``.
 
     Links are resolved inside the array, before it is exploded: filters on the link then
-    apply to a finished column, where they would otherwise repeat the whole extraction.
+    apply to finished columns, where they would otherwise repeat the whole extraction.
     """
     keep = [c for c in pages.columns if c != html]
     visible = F.regexp_replace(F.col(html), _OPAQUE, "")
@@ -47,11 +47,10 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     hrefs = F.filter(F.transform("_tags", _href), lambda h: h.isNotNull())
     clean = F.transform(hrefs, lambda h: strip(unescape_attribute(unquote(h))))
     links = F.transform(clean, lambda h: resolve_link(F.col(url), address, h))
-    return per_page.select(*keep, F.posexplode(links).alias("pos", "link"))
-
-
-def named_files(links: DataFrame, link: str = "link") -> DataFrame:
-    return links.withColumn("file_name", file_name(F.col(link)))
+    named = F.transform(links, lambda a: F.struct(a.alias("link"), file_name(a).alias("file_name")))
+    return per_page.select(*keep, F.posexplode(named).alias("pos", "_file")).select(
+        *keep, "pos", "_file.link", "_file.file_name"
+    )
 
 
 def service_files(files: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:

@@ -206,7 +206,7 @@ def school_vacations(spark, folder):
     o = table(spark, folder, "orders")
     days = calendar.school_vacations(roles.years_of(o, "o_orderdate"))
     per_day = o.groupBy(F.to_date("o_orderdate").alias("_d")).agg(F.count("*").alias("orders"))
-    joined = keyed_join(days, per_day, [("event_date", "_d")]).drop("_d")
+    joined = keyed_join(days, staged(per_day, "per-day"), [("event_date", "_d")]).drop("_d")
     return plain(joined.withColumn("orders", F.coalesce("orders", F.lit(0))))
 
 

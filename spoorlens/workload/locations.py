@@ -11,6 +11,7 @@ from spoorlens.operators.keep_one import keep_one, missing_from, prefer_located
 from spoorlens.operators.nearest import nearest_site
 from spoorlens.operators.skew import keyed_join
 from spoorlens.schemas import WEATHER_EVIDENCE
+from spoorlens.session import staged
 from spoorlens.workload import roles
 from spoorlens.workload.registry import plain, query, r6, rounded, table
 
@@ -110,7 +111,8 @@ def _with_weather(spark, folder, **options) -> DataFrame:
         "stop_event_ts", event_time("stop_arrival_ts", "stop_departure_ts", prefer="departure")
     )
     mapped = weather.attach_station(stops, _mapping(spark, folder))
-    return weather.attach_weather(mapped, _hourly_weather(spark, folder), **options)
+    # An aggregate: staged, as the size check would otherwise compute it a second time.
+    return weather.attach_weather(mapped, staged(_hourly_weather(spark, folder), "hourly"), **options)
 
 
 WITH_WEATHER_SQL = f"""{roles.STOPS_SQL},

@@ -11,7 +11,7 @@ from spoorlens.operators.intervals import seconds
 from spoorlens.operators.keep_one import keep_one
 from spoorlens.operators.stops import explode_codes as split_codes
 from spoorlens.plans import jobs
-from spoorlens.session import staged
+from spoorlens.session import scratch_dir, staged
 from spoorlens.workload import roles
 from spoorlens.workload.delays import REPEAT_SQL
 from spoorlens.workload.registry import plain, query, r6, table
@@ -148,25 +148,39 @@ def calendar_feed(spark, folder):
     return plain(events.drop("seq"))
 
 
-@query(f"""
+CALENDAR_SQL = f"""
 WITH {FEED_SQL}, {REPEAT_SQL.format(base='named', last=2003)},
 years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS y FROM orders), {roles.vacations_sql('years')},
 base AS (SELECT event_date, name, category FROM named
          UNION ALL SELECT event_date, name, category FROM repeats WHERE event_date IS NOT NULL)
 SELECT CAST(event_date AS VARCHAR) AS event_date, name, category FROM base
 UNION ALL SELECT CAST(event_date AS VARCHAR), name, category FROM vacations v
-WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.event_date = v.event_date AND b.name = v.name AND b.category = v.category)""")
+WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.event_date = v.event_date AND b.name = v.name AND b.category = v.category)"""
+
+
+@query(CALENDAR_SQL)
 def calendar_build(spark, folder):
     events = calendar.events_in_text(_feed(spark, folder), "text", [F.format_string("%020d", "o_orderkey")])
     years = roles.years_of(table(spark, folder, "orders"), "o_orderdate")
     return plain(calendar.full_calendar(staged(events, "events"), years, 2003))
 
 
+@query(f"SELECT event_date, nullif(name, '') AS name, category FROM ({CALENDAR_SQL})")
+def calendar_job(spark, folder):
+    """The same from feed files to a calendar file, in which an empty name reads as null."""
+    feed, out = scratch_dir(spark, "feed"), scratch_dir(spark, "holidays")
+    _feed(spark, folder).select("text").write.text(feed)
+    first, last = table(spark, folder, "orders").agg(
+        F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))
+    ).first()
+    return plain(jobs.build_calendar(spark, feed, out, 2003, first, last))
+
+
 @query(r"""
 SELECT p_partkey, CASE WHEN p_size > 25 THEN p_name ELSE 'van ' || p_type || ' (x) of ' || p_brand END AS name,
   CASE WHEN p_size > 40 THEN 'Time change' ELSE 'Holiday' END AS category,
   CASE WHEN p_size BETWEEN 1 AND 28 THEN '2020-02-' || lpad(CAST(p_size AS VARCHAR), 2, '0') WHEN p_size = 29 THEN '2020-02-29' END AS day
-FROM part""", name="event_text_fields")
+FROM part""")
 def event_text_fields(spark, folder):
     """Name in a closing parenthesis, category by name, and the first eight digits as date."""
     size = F.col("p_size")
@@ -202,8 +216,9 @@ SELECT file_name, count(*) AS links FROM (SELECT regexp_extract(regexp_extract(l
   UNION ALL SELECT regexp_extract(regexp_extract(regexp_extract(url, '^[^?#]*'), '^[a-z]+://[^/]*(.*)$', 1), '([^/]*)$', 1) FROM pages) GROUP BY file_name""")
 def link_file_names(spark, folder):
     pages = table(spark, folder, "pages").select("url", "html")
-    links = manifest.page_links(pages).select("link").union(pages.select("url"))
-    return links.groupBy(file_name(F.col("link")).alias("file_name")).agg(F.count("*").alias("links"))
+    linked = manifest.page_links(pages).select("file_name")
+    own = pages.select(file_name(F.col("url")).alias("file_name"))
+    return linked.unionByName(own).groupBy("file_name").agg(F.count("*").alias("links"))
 
 
 def _download_pages(spark, folder) -> DataFrame:
@@ -242,7 +257,7 @@ SELECT CAST(y AS INT) AS year, services AS file_name, 'https://data.example/file
 FROM chosen""")
 def manifest_select(spark, folder):
     links = manifest.page_links(_download_pages(spark, folder))
-    files = staged(manifest.known_files(manifest.named_files(links)), "files")
+    files = staged(manifest.known_files(links), "files")
     return manifest.service_files(files, first_year=1996).select(
         "year", "file_name", "link", F.regexp_extract("url", r"(\d+)$", 1).alias("page")
     )
