@@ -12,28 +12,37 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SMALL_ROWS = 100_000
-SMALL_BYTES = 32 * 1024 * 1024
+SMALL_ROWS = 1_000_000
+SMALL_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 2_000_000
 # Only the largest keys are salted. A key outside the first 10,000 holds less than one
 # row in 10,000, which one task can take; no row is lost either way.
 MAX_HOT_KEYS = 10_000
 
 
+GLANCE_ROWS = 10_000
+
+
 def fits_in_memory(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
-    """Whether ``df`` is small enough to broadcast.
+    """Whether ``df`` is small enough to broadcast, by its rows and bytes.
 
-    Only the width of each row is computed, and ``take`` reads one partition, then a few
-    more, until it has seen too many rows: a large table costs a look at its beginning.
+    A glance at the widths of the first rows settles it for most dimension tables. A
+    larger table is counted, which reads no column of a file, and only one within the
+    row bound is read for its bytes.
     """
     if max_rows <= 0:
         return False
-    texts = [F.octet_length(c) for c, t in df.dtypes if t in ("string", "binary")]
-    width = F.lit(16 * len(df.columns))
-    for text in texts:
-        width = width + F.coalesce(text, F.lit(0))
-    seen = df.select(width.cast("long")).take(max_rows + 1)
-    return len(seen) <= max_rows and sum(r[0] for r in seen) <= max_bytes
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for column, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+    glance = min(max_rows, GLANCE_ROWS)
+    seen = df.select(width).take(glance + 1)
+    if len(seen) <= glance:
+        return sum(r[0] for r in seen) <= max_bytes
+    if glance == max_rows or df.count() > max_rows:
+        return False
+    return df.agg(F.sum(width)).first()[0] <= max_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:

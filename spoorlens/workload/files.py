@@ -218,7 +218,9 @@ def _master(spark, folder) -> str:
     services, stations, disruptions, out = (
         scratch_dir(spark, n) for n in ("services", "stations", "disruptions", "master")
     )
-    _raw_services(spark, folder).write.option("header", True).option("compression", "gzip").csv(services)
+    # Several files, as one gzipped file is read by one task.
+    _raw_services(spark, folder).repartition(8, "Stop:RDT-ID") \
+        .write.option("header", True).option("compression", "gzip").csv(services)
     writers.write_csv(_raw_stations(spark, folder), stations, single=False)
     writers.write_csv(_raw_disruptions(spark, folder), disruptions, single=False)
     jobs.build_master(spark, services, stations, disruptions, out)

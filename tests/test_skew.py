@@ -45,6 +45,12 @@ def test_size_check(spark):
     assert not skew.fits_in_memory(df, 9)
     assert not skew.fits_in_memory(df, 10, max_bytes=500)
     assert not skew.fits_in_memory(df, 0)
+    many = spark.range(skew.GLANCE_ROWS + 5).select("id", F.lit("x").alias("s"))
+    assert skew.fits_in_memory(many)
+    assert not skew.fits_in_memory(many, skew.GLANCE_ROWS)
+    assert not skew.fits_in_memory(many, skew.GLANCE_ROWS + 4)
+    assert skew.fits_in_memory(many, skew.GLANCE_ROWS + 5)
+    assert not skew.fits_in_memory(many, max_bytes=33 * skew.GLANCE_ROWS)
 
 
 def test_bad_arguments(spark):
