@@ -1,6 +1,8 @@
+import io
 import os
 import sys
 import tempfile
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import SparkSession
@@ -42,3 +44,10 @@ def rows(df, *columns):
     """Rows as sorted tuples; nulls last."""
     out = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
     return sorted(out, key=lambda r: tuple((v is None, v if v is not None else 0) for v in r))
+
+
+def plan(df):
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()

@@ -1,32 +1,15 @@
 """Properties of the physical plans that matter at scale."""
 
-import io
-from contextlib import redirect_stdout
-
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from conftest import plan
 from spoorlens.operators import keep_one, rollup, skew
 from spoorlens.workload import roles
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def plan(df):
-    out = io.StringIO()
-    with redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()
-
-
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_python_and_no_all_pairs(spark, name):
-    text = plan(contract.queries()[name](spark, FOLDER))
-    for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text, node
-
-
 def test_first_row_per_key_is_taken_before_the_shuffle(spark):
     df = spark.read.parquet(f"{FOLDER}/events.parquet")
     text = plan(keep_one.keep_one(df.select("user_id", "value"), ["user_id"]))

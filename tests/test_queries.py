@@ -1,12 +1,19 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every registered query against its SQL on the smallest tables, and its plan."""
 
 import oracle
 import pytest
 
 import __spark_entry__ as contract
+from conftest import plan
 
 FOLDER = "/root/testdata/sf0.001"
 
+# Python workers, and joins that compare all pairs.
+NEVER = [
+    "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "InPandas",
+    "CartesianProduct", "BroadcastNestedLoopJoin",
+]
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -21,4 +28,7 @@ def test_contract(spark):
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_sql(spark, con, name):
     df = contract.queries()[name](spark, FOLDER)
+    text = plan(df)
+    for node in NEVER:
+        assert node not in text, node
     assert oracle.difference(df, con, contract.oracle_sql()[name]) is None
