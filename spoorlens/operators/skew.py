@@ -34,8 +34,8 @@ def fits_in_memory(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = S
         return False
     width = F.lit(16 * len(df.columns)).cast("long")
     for column, kind in df.dtypes:
-        if kind in ("string", "binary"):
-            width = width + F.coalesce(F.octet_length(column), F.lit(0))
+        if kind in ("string", "binary") or "<" in kind:  # text, or a nested type as text
+            width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
     glance = min(max_rows, GLANCE_ROWS)
     seen = df.select(width).take(glance + 1)
     if len(seen) <= glance:
