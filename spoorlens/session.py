@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,14 +55,13 @@ def get_session(
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder named in ``spark.checkpoint.dir``.
 
-    Executors on other machines must see it, so a local folder is used only where
-    the setting is absent and the whole session runs in one process.
+    Executors on other machines must see it. Where the setting is absent, as in tests,
+    it is set to a folder in the warehouse, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="spoorlens-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
