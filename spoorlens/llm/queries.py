@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import quality_rules, sharding, simhash, url_filter
+from spoorlens.llm import packing, quality_rules, sharding, simhash, url_filter
 from spoorlens.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,10 @@ def op10_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder), shingle=3, radius=3)
+
+
+@query()
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, folder)).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
