@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -66,3 +69,28 @@ def setting(spark: SparkSession, name: str, value: str):
             spark.conf.unset(name)
         else:
             spark.conf.set(name, before)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, which may not have it on their path.
+
+    Spark copies the archive to the executors. Once per application.
+    """
+    import spoorlens
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = os.path.dirname(os.path.abspath(spoorlens.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "spoorlens.zip")  # on the driver, for its file server
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import packing, quality_rules, sharding, simhash, url_filter
-from spoorlens.llm.common import text_of
+from spoorlens.llm import packing, quality_rules, sharding, simhash, toxicity, url_filter
+from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -15,10 +16,15 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, folder)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
-        return fn
+        return run
 
     return register
 
@@ -139,3 +145,13 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder)).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query()
+def op2_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter(~toxicity.is_held_out())
+    model = toxicity.fit(toxicity.training_rows(docs, labels))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
