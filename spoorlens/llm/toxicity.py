@@ -7,8 +7,9 @@ leaves most weights at zero, so that what is broadcast is a short list.
 
 The fit uses at most ``MAX_TRAIN`` labelled rows, chosen by hash of the key, in
 ``LEARNERS`` partitions at most. In each pass every partition learns from the common state and
-the states are averaged, a table of at most 2 ** ``BITS`` rows. Scores read every word
-of every text.
+the states are averaged: those coordinates whose gradient sum has come half way to a
+weight, as n-grams of single texts would fill the table and never count. Scores read
+every word of every text.
 
 Null and empty texts get the score of the intercept. Labels with several rows per key
 count as toxic if one does; null labels are not used. Repeated rows are scored one by
@@ -117,10 +118,13 @@ def fit(rows: DataFrame, ftrl: Ftrl = Ftrl(), bits: int = BITS, learners: int =
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(passes):
-        state = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
+        seen = np.flatnonzero(n)
+        state = spark.sparkContext.broadcast((seen, z[seen], n[seen]))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own_z, own_n = (x.astype(np.float64) for x in state.value)
+            places, common_z, common_n = state.value
+            own_z, own_n = np.zeros(size), np.zeros(size)
+            own_z[places], own_n[places] = common_z, common_n
             rows = 0
             for batch in batches:
                 rows += len(batch)
@@ -129,7 +133,8 @@ def fit(rows: DataFrame, ftrl: Ftrl = Ftrl(), bits: int = BITS, learners: int =
                 for i, label in enumerate(batch.column("label").to_pylist()):
                     ftrl.learn(own_z, own_n, np.append(flat[at[i]:at[i + 1]], size - 1), label)
             if rows:
-                seen = np.flatnonzero(own_n)
+                # What is far from a weight, such as n-grams of one text, is forgotten.
+                seen = np.append(np.flatnonzero(np.abs(own_z[:-1]) > ftrl.l1 / 2), size - 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(seen), pa.array(own_z[seen]), pa.array(own_n[seen]), pa.array(np.full(len(seen), rows))],
                     ["place", "z", "n", "rows"],
@@ -137,10 +142,10 @@ def fit(rows: DataFrame, ftrl: Ftrl = Ftrl(), bits: int = BITS, learners: int =
 
         learned = stage.put(examples.mapInArrow(learn, "place long, z double, n double, rows long"), "states")
         total = learned.filter(F.col("place") == size - 1).agg(F.sum("rows")).first()[0]
-        # A learner that has not seen a coordinate leaves it at zero in the average.
+        # A learner that has no state for a coordinate counts as zero in the average.
         mean = learned.groupBy("place").agg(
             (F.sum(F.col("z") * F.col("rows")) / total).alias("z"), (F.sum(F.col("n") * F.col("rows")) / total).alias("n")
-        ).toPandas()  # at most 2 ** bits + 1 rows
+        ).toPandas()  # coordinates near or beyond a weight, 2 ** bits + 1 at the very most
         z, n = np.zeros(size), np.zeros(size)
         z[mean["place"]], n[mean["place"]] = mean["z"], mean["n"]
         stage.drop(learned)
