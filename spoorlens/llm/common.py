@@ -38,14 +38,22 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: dict[int, str] = {}
+        self.held: list[DataFrame] = []
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_dir(self.spark, name)
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        self._hold = [*getattr(self, "_hold", []), out]
-        return out
+        return self._keep(out, path)
+
+    def derived(self, table: DataFrame, view: DataFrame) -> DataFrame:
+        """``view``, by which ``table`` can be dropped."""
+        return self._keep(view, self.paths.pop(id(table)))
+
+    def _keep(self, table: DataFrame, path: str) -> DataFrame:
+        self.paths[id(table)] = path
+        self.held.append(table)  # an id stands for one object only while that lives
+        return table
 
     def drop(self, *tables: DataFrame) -> None:
         jvm = self.spark._jvm

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import packing, quality_rules, sharding, simhash, toxicity, url_filter
+from spoorlens.llm import packing, quality_rules, sharding, simhash, suffix_array, toxicity, url_filter
 from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,10 @@ def op2_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", toxicity.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query()
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_array.repeats(documents(spark, folder)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
