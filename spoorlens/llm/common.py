@@ -102,3 +102,33 @@ def ship(spark: SparkSession) -> None:
                     out.write(full, os.path.relpath(full, os.path.dirname(top)))
     spark.sparkContext.addPyFile(archive)
     _shipped.add(app)
+
+
+def squeezed(docs: DataFrame) -> DataFrame:
+    """Key, 128-bit name of the text and the text itself as zstd, for an exchange of texts.
+
+    ``docs`` has ``key`` and ``text`` without nulls.
+    """
+    import pyarrow as pa
+    import zstandard
+
+    def work(batches):
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            packed = [packer.compress(t.as_py().encode()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("key", "t1", "t2")] + [pa.array(packed, pa.binary())], ["key", "t1", "t2", "z"]
+            )
+
+    return named_texts(docs).mapInArrow(work, "key long, t1 long, t2 long, z binary")
+
+
+def unsqueezed(z: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(z)
+
+
+def named_texts(docs: DataFrame) -> DataFrame:
+    """Key, text, and a 128-bit name of the text."""
+    return docs.select("key", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import packing, quality_rules, sharding, simhash, suffix_array, toxicity, url_filter
+from spoorlens.llm import packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
 from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,10 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_array.repeats(documents(spark, folder)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
+
+
+@query()
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_windows(documents(spark, folder)).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
