@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
+from spoorlens.llm import decontamination, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
 from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,9 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_windows(documents(spark, folder)).select(
         "doc_id", "n_words", "n_removed", "kept_sha256"
     )
+
+
+@query()
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontamination.matches(documents(spark, folder), items)
