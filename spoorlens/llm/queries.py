@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import decontamination, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
+from spoorlens.llm import decontamination, licenses, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
 from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,9 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return decontamination.matches(documents(spark, folder), items)
+
+
+@query()
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return licenses.scan(docs, licenses.fit(licenses.negative_lines(docs)))
