@@ -115,6 +115,15 @@ def keep_outside(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(parts)
 
 
+def whole_characters(data: bytes, a: int, b: int) -> tuple[int, int]:
+    """The part of a span of UTF-8 bytes that holds whole characters."""
+    while a < b and data[a] & 0xC0 == 0x80:
+        a += 1
+    while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+        b -= 1
+    return a, b
+
+
 def _arrow(work, rows: DataFrame, schema: str) -> DataFrame:
     """``work`` maps a row's values to output rows."""
     names = [part.strip().split(" ")[0] for part in schema.replace("array<struct<a:int,b:int>>", "spans").split(",")]
