@@ -132,3 +132,19 @@ KM_SQL = """2 * 6371.0 * atan2(sqrt(sin(radians(weather_lat - station_lat) / 2)
     + cos(radians(station_lat)) * cos(radians(weather_lat)) * sin(radians(weather_lng - station_lng) / 2) ** 2),
   sqrt(1 - (sin(radians(weather_lat - station_lat) / 2) ** 2
     + cos(radians(station_lat)) * cos(radians(weather_lat)) * sin(radians(weather_lng - station_lng) / 2) ** 2)))"""
+
+
+def grouping_set_sql(base: str, dimensions: list[str], chosen: list[str]) -> str:
+    """One grouping from its definition: service hours of its own, then their counts."""
+    by = "".join(f"{c}, " for c in chosen)
+    number = sum(1 << (len(dimensions) - 1 - i) for i, c in enumerate(dimensions) if c not in chosen)
+    kinds = {"service_type": "VARCHAR", "service_company": "VARCHAR", "season": "VARCHAR"}
+    columns = ", ".join(c if c in chosen else f"CAST(NULL AS {kinds.get(c, 'INT')}) AS {c}" for c in dimensions)
+    hours = service_hours_sql(by.replace("hour, ", "")).replace("FROM timed", f"FROM {base}").strip()
+    inner = hours[hours.index("(") + 1:-1]
+    grouped = f"GROUP BY {', '.join(chosen)}" if chosen else ""
+    return f"SELECT {number} AS grouping_id, {columns}, {COUNTS_SQL} FROM ({inner}) {grouped}"
+
+
+def grouping_sets_sql(base: str, dimensions: list[str], sets: list[list[str]]) -> str:
+    return " UNION ALL ".join(grouping_set_sql(base, dimensions, s) for s in sets)
