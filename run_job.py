@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
+from spoorlens.operators import manifest
 from spoorlens.plans import jobs
-from spoorlens.session import REPORT_TIME_ZONE, get_session
+from spoorlens.session import REPORT_TIME_ZONE, get_session, staging_scope
 from spoorlens.sources import readers, writers
 
 TEXT_OPTIONS = {
@@ -16,13 +19,15 @@ TEXT_OPTIONS = {
     "calendar": ["feed", "out"],
     "manifest": ["pages", "out"],
     "compact": ["out"],
+    "analysis": ["master", "out"],
 }
+# Options that name inputs; their size sets the shuffle width.
+INPUTS = ["services", "stations", "disruptions", "master", "readings", "holidays", "feed", "pages"]
 
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--time-zone", default=REPORT_TIME_ZONE)
-    parser.add_argument("--input-bytes", type=int, default=0, help="size of the input, to set the shuffle width")
     subs = parser.add_subparsers(dest="job", required=True)
     made = {name: subs.add_parser(name) for name in TEXT_OPTIONS}
     for name, options in TEXT_OPTIONS.items():
@@ -37,13 +42,27 @@ def arguments() -> argparse.Namespace:
     made["report"].add_argument("--last-day")
     made["report"].add_argument("--one-row-per-stop", action="store_true")
     made["report"].add_argument("--collapse-holidays", action="store_true")
+    made["calendar"].add_argument("--last-year", type=int, help="of repeated holidays; default: the coming year")
+    made["calendar"].add_argument("--first-vacation-year", type=int, default=2015)
+    made["calendar"].add_argument("--last-vacation-year", type=int, help="default: the coming year")
+    made["manifest"].add_argument("--first-year", type=int, default=manifest.FIRST_YEAR)
     made["compact"].add_argument("--readings", action="append", required=True)
     return parser.parse_args()
 
 
 def main() -> None:
     a = arguments()
-    spark = get_session(f"spoorlens-{a.job}", a.time_zone, a.input_bytes)
+    inputs = []
+    for name in INPUTS:
+        value = getattr(a, name, None) or []
+        inputs += value if isinstance(value, list) else [value]
+    spark = get_session(f"spoorlens-{a.job}", a.time_zone, inputs)
+    with staging_scope(spark):
+        run(spark, a)
+    spark.stop()
+
+
+def run(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.job == "stations":
         for name, df in jobs.consolidate_stations(spark, a.stations, a.out).items():
             if name != "stations":
@@ -55,8 +74,9 @@ def main() -> None:
             spark, a.master, a.stations, a.readings, a.out, a.mapping_out,
             a.metric, a.by, a.only_given_months,
         )
-        for name in ("match_rate", "without_time"):
+        for name in ("match_rate", "without_time", "repeated_hours"):
             done[name].show(truncate=False)
+        done["services_with_weather"].orderBy("stop_event_ts", "stop_rdt_id").show(20, truncate=False)
     elif a.job == "report":
         skip = [tuple(int(n) for n in month.split("-")) for month in a.skip_month]
         jobs.delay_report(
@@ -64,13 +84,15 @@ def main() -> None:
             a.one_row_per_stop, a.collapse_holidays,
         )
     elif a.job == "calendar":
-        jobs.build_calendar(spark, a.feed, a.out)
+        jobs.build_calendar(spark, a.feed, a.out, a.last_year, a.first_vacation_year, a.last_vacation_year)
     elif a.job == "manifest":
-        files = jobs.build_manifest(readers.read_parquet(spark, a.pages))
+        files = jobs.build_manifest(readers.read_parquet(spark, a.pages), a.first_year)
         writers.write_csv(files, a.out)
     elif a.job == "compact":
         jobs.compact_weather(spark, a.readings, a.out)
-    spark.stop()
+    elif a.job == "analysis":
+        for df in jobs.analyse(spark, a.master, a.out).values():
+            df.show(50, truncate=False)
 
 
 if __name__ == "__main__":

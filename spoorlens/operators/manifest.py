@@ -70,12 +70,14 @@ def service_files(files: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
     chosen = matched.join(F.broadcast(whole_years), F.col("year") == F.col("_whole"), "left").filter(
         F.col("is_yearly") | F.col("_whole").isNull()
     )
-    return chosen.drop("_whole", "is_yearly").orderBy("year", "file_name")
+    return chosen.drop("_whole", "is_yearly").orderBy("year", "file_name", *[c for c in ("url", "pos") if c in files.columns])
 
 
 def disruption_files(files: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
     year = to_int(F.regexp_extract("file_name", DISRUPTIONS_YEARLY, 1))
-    return files.withColumn("year", year).filter(F.col("year") >= first_year).orderBy("file_name")
+    return files.withColumn("year", year).filter(F.col("year") >= first_year).orderBy(
+        "file_name", *[c for c in ("url", "pos") if c in files.columns]
+    )
 
 
 def known_files(files: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Joins that hold up when one key has a large part of all rows.
 
 The small side is broadcast only after its size was counted. Beyond the bound both
-sides are shuffled, and the keys with most rows are spread over several tasks: each
-left row of such a key gets a salt, each right row is repeated once per salt.
+sides are shuffled, and keys with very many rows are spread over several tasks: each row
+of such a key gets a salt, and the rows of the other side are repeated once per salt. A
+key may be hot on either side or on both.
 """
 
 from __future__ import annotations
@@ -12,14 +13,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from spoorlens.session import staged
+
 SMALL_ROWS = 1_000_000
 SMALL_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 2_000_000
-# Only the largest keys are salted. A key outside the first 10,000 holds less than one
-# row in 10,000, which one task can take; no row is lost either way.
-MAX_HOT_KEYS = 10_000
-
-
 GLANCE_ROWS = 10_000
 
 
@@ -46,18 +44,47 @@ def fits_in_memory(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = S
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of tasks each should get."""
+    """All keys with more than ``hot_rows`` rows and the number of tasks each should get.
+
+    There is at most one such key per ``hot_rows`` rows of ``df``.
+    """
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > hot_rows)
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(MAX_HOT_KEYS)
         .withColumn("_fan", F.ceil(F.col("_n") / hot_rows).cast("int"))
         .drop("_n")
     )
 
 
+def _conjunction(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
+
+
+def _with_fan(df: DataFrame, keys: Sequence[str], fans: DataFrame, name: str) -> DataFrame:
+    """``df`` with the fan of its key, 1 for keys that are not hot; nulls equal nulls.
+
+    The hot keys are broadcast where they are few; beyond that they are joined by a
+    shuffle, in which Spark itself splits what is uneven.
+    """
+    helpers = [f"_h{i}" for i in range(len(keys))]
+    named = fans.select(*[F.col(k).alias(h) for k, h in zip(fans.columns, helpers)], F.col("_fan").alias(name))
+    same = _conjunction([F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, helpers)])
+    found = df.join(F.broadcast(named) if fits_in_memory(named) else named, same, "left").drop(*helpers)
+    return found.withColumn(name, F.coalesce(name, F.lit(1)))
+
+
+def _salt(df: DataFrame, fan: str) -> Column:
+    """A salt below the fan that follows from the row and its input partition, so that a
+    lost task that runs again gives the same, and exact copies spread as well."""
+    own = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns if c != fan])
+    return F.when(F.col(fan) > 1, F.pmod(own, F.col(fan))).otherwise(0).cast("int")
+
+
+def _each_salt(fan: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(fan) - 1))
+
+
 def keyed_join(
     left: DataFrame,
     right: DataFrame,
@@ -84,33 +111,34 @@ def keyed_join(
     if small is None:
         small = fits_in_memory(right, small_rows)
     if small:
-        return left.join(F.broadcast(right), reduce(lambda a, b: a & b, equal + extra), how)
+        return left.join(F.broadcast(right), _conjunction(equal + extra), how)
 
     left_keys = [a for a, _ in on]
     right_keys = [b for _, b in on]
-    # At most MAX_HOT_KEYS rows, so this broadcast is bounded whatever the data holds.
-    fan = F.broadcast(
-        hot_keys(left, left_keys, hot_rows).select(
-            *[F.col(a).alias(f"_h{i}") for i, a in enumerate(left_keys)], "_fan"
-        )
-    )
-    helpers = [f"_h{i}" for i in range(len(on))]
-
-    def with_fan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        # Null-safe: left rows without a key match nothing but must be spread as well.
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, helpers)])
-        return df.join(fan, same, "left").drop(*helpers)
-
-    # The salt follows from the row and its input partition, so a lost task that runs
-    # again gives the same salt, and exact copies spread over the partitions they come
-    # from. It is worked out for rows of hot keys only.
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
-    salt = F.when(F.col("_fan").isNotNull(), F.pmod(row_hash, F.col("_fan"))).otherwise(0)
-    salted_left = with_fan(left, left_keys).withColumn("_salt_l", salt.cast("int")).drop("_fan")
-    salted_right = (
-        with_fan(right.dropna(subset=right_keys), right_keys)
-        .withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1)))
-        .drop("_fan")
+    known = right.dropna(subset=right_keys)
+    left_fans = hot_keys(left, left_keys, hot_rows)
+    right_fans = hot_keys(known, right_keys, hot_rows)
+    fanned = _with_fan(left, left_keys, left_fans, "_fan_l")
+    other = _with_fan(known, right_keys, left_fans, "_fan_l")
+    if right_fans.isEmpty():
+        own = fanned.withColumn("_salt_l", _salt(fanned, "_fan_l")).drop("_fan_l")
+        each = other.withColumn("_salt_r", _each_salt("_fan_l")).drop("_fan_l")
+        match = _conjunction(equal + [F.col("_salt_l") == F.col("_salt_r")] + extra)
+        return own.join(each, match, how).drop("_salt_l", "_salt_r")
+
+    # A grid for keys that are hot on the right: each right row in one of its columns,
+    # each left row in all of them. A left row without a match would come out once per
+    # column, so the grid is an inner join, and such rows are added by their number.
+    fanned = staged(_with_fan(fanned, left_keys, right_fans, "_fan_r").withColumn("_row", F.monotonically_increasing_id()), "left-rows")
+    other = _with_fan(other, right_keys, right_fans, "_fan_r")
+    own = fanned.withColumn("_salt_l", _salt(fanned, "_fan_l")).withColumn("_side_l", _each_salt("_fan_r")).drop("_fan_l", "_fan_r")
+    each = other.withColumn("_side_r", _salt(other, "_fan_r")).withColumn("_salt_r", _each_salt("_fan_l")).drop("_fan_l", "_fan_r")
+    match = _conjunction(
+        equal + [F.col("_salt_l") == F.col("_salt_r"), F.col("_side_l") == F.col("_side_r")] + extra
     )
-    match = reduce(lambda a, b: a & b, equal + [F.col("_salt_l") == F.col("_salt_r")] + extra)
-    return salted_left.join(salted_right, match, how).drop("_salt_l", "_salt_r")
+    met = own.join(each, match, "inner").drop("_salt_l", "_salt_r", "_side_l", "_side_r")
+    if how == "left":
+        met = staged(met, "met-rows")
+        lost = fanned.drop("_fan_l", "_fan_r").join(met.select("_row").distinct(), "_row", "left_anti")
+        met = met.unionByName(lost, allowMissingColumns=True)
+    return met.drop("_row")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,25 +33,38 @@ REPORT_TIME_ZONE = "Europe/Amsterdam"
 
 
 def shuffle_partitions(input_bytes: int) -> int:
-    """Shuffle partitions for an input of that size: 200 at least, 200,000 at most."""
-    return max(200, min(200_000, input_bytes // BYTES_PER_SHUFFLE_PARTITION))
+    """Shuffle partitions for an input of that size, 200 at least."""
+    return max(200, -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION))
+
+
+def size_of(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Bytes of the files that the paths and patterns name, from the file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for text in paths:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
+    return total
 
 
 def get_session(
-    app: str, time_zone: str = REPORT_TIME_ZONE, input_bytes: int = 0, **extra: str
+    app: str, time_zone: str = REPORT_TIME_ZONE, input_paths: Sequence[str] = (), **extra: str
 ) -> SparkSession:
-    """A session with the time zone pinned, since hours and dates depend on it."""
-    conf = {
-        **RUNTIME_CONF,
-        **PARQUET_CONF,
-        "spark.sql.session.timeZone": time_zone,
-        "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)),
-        **extra,
-    }
-    builder = SparkSession.builder.appName(app)
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+    """A session with the time zone pinned, since hours and dates depend on it.
+
+    The shuffle width follows from the size of the inputs. What the user has set, as
+    with ``spark-submit --conf``, stays; ``extra`` comes before both.
+    """
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    wanted = {**RUNTIME_CONF, **PARQUET_CONF, "spark.sql.session.timeZone": time_zone}
+    if "spark.sql.shuffle.partitions" not in given:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions(size_of(spark, input_paths)))
+    for key, value in {**{k: v for k, v in wanted.items() if k not in given}, **extra}.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -65,12 +80,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Folders staged by this process and not dropped yet.
+_staged: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the scratch folder and read back.
 
     For a table that several steps read: it is computed once, each step reads only the
     columns it needs, and a lost executor costs a read instead of the work above.
+    ``drop_staged`` deletes what a job has staged.
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was staged inside, also after an error. The results of a
+    job must be written by then."""
+    mark = len(_staged)
+    try:
+        yield
+    finally:
+        while len(_staged) > mark:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from spoorlens.functions.values import month_key
 
-# More rows than this are written as several files, each from its own task.
-SINGLE_FILE_ROWS = 5_000_000
-
 
 def write_parquet(
     df: DataFrame,
@@ -37,13 +34,15 @@ def write_parquet(
     writer.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single: bool = True, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Overwrite ``path`` with CSV and header, as one file if the result is small.
+def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
+    """Overwrite ``path`` with CSV and header.
 
+    The caller decides on the layout, whatever the number of rows: ``single`` gives one
+    file, written by one task, and is meant for results that are known to be small.
     ``repartition(1)`` leaves the work above it parallel, where ``coalesce(1)`` would
     pull it into the writing task.
     """
-    if single and df.limit(max_rows + 1).count() <= max_rows:
+    if single:
         df = df.repartition(1)
     df.write.mode("overwrite").option("header", True).csv(path)
 

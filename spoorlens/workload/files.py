@@ -53,7 +53,7 @@ def sink_roundtrip_csv_gz(spark, folder):
 def sink_roundtrip_single_csv(spark, folder):
     out = scratch_dir(spark, "single-csv")
     counts = table(spark, folder, "nation").groupBy("n_regionkey").agg(F.count("*").alias("nations"))
-    writers.write_csv(counts, out)
+    writers.write_csv(counts, out, single=True)
     return readers.read_csv(spark, f"{out}/part-*.csv").select(
         F.col("n_regionkey").cast("int"), F.col("nations").cast("long")
     )
@@ -308,7 +308,7 @@ def delay_report_job(spark, folder):
     busy = table(spark, folder, "events").filter(F.col("value") > 400).select(
         F.to_date("ts").alias("event_date"), F.lit("Busy day").alias("name"), F.lit("Holiday").alias("category")
     ).distinct()
-    writers.write_csv(busy, holidays)
+    writers.write_csv(busy, holidays, single=True)
     report = jobs.delay_report(spark, _master(spark, folder), holidays, out)
     counts = ["services_in_hour", "completely_cancelled", "partly_cancelled", "delayed_count",
               "on_time_count", "short_delay_count", "long_delay_count"]

@@ -59,3 +59,24 @@ def test_bad_arguments(spark):
         skew.keyed_join(left, right, [("k", "rk")], how="outer")
     with pytest.raises(ValueError):
         skew.keyed_join(left, left, [("k", "k")])
+
+
+def _right_hot(spark):
+    left = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 100), (None, 101), (9, 102)], "k int, v int")
+    right = spark.createDataFrame([(1, i) for i in range(60)] + [(2, 5), (3, 6)], "rk int, w int")
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot_rows", [10, 20, 1000])
+def test_keys_hot_on_the_right(spark, how, hot_rows):
+    left, right = _right_hot(spark)
+    near = F.col("w") >= F.col("v") + 40
+    want = rows(left.join(right, (left.k == right.rk) & near, how))
+    got = skew.keyed_join(left, right, [("k", "rk")], how=how, condition=near, small_rows=0, hot_rows=hot_rows)
+    assert got.columns == ["k", "v", "rk", "w"] and rows(got) == want
+
+
+def test_every_hot_key_is_split(spark):
+    many = spark.range(36_000).select((F.col("id") % 12_000).alias("k"))
+    assert skew.hot_keys(many, ["k"], 2).count() == 12_000
