@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from spoorlens.functions.text import (
@@ -31,11 +34,17 @@ def _href(tag):
     return F.regexp_extract(F.try_element_at(named, F.lit(-1)), r"(?s)^[^=]*=\s*(.*)$", 1)
 
 
-def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+# What the link to a known file holds as it stands, before it is resolved.
+STEMS = ("services-", "disruptions-", STATIONS_FILE, DISTANCES_FILE)
+
+
+def page_links(pages: DataFrame, url: str = "url", html: str = "html", holding: Sequence[str] = ()) -> DataFrame:
     """One row per anchor link of each page: other columns, ``pos``, ``link``, ``file_name``.
 
     Links are resolved inside the array, before it is exploded: filters on the link then
     apply to finished columns, where they would otherwise repeat the whole extraction.
+    With ``holding``, only links that hold one of the texts are resolved and returned; a
+    file name of plain characters stands in a link as it is.
     """
     keep = [c for c in pages.columns if c != html]
     visible = F.regexp_replace(F.col(html), _OPAQUE, "")
@@ -45,12 +54,16 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     per_page = pages.select(*keep, tags.alias("_tags"), *[c.alias(f"_{n}") for n, c in parts.items()])
     address = {n: F.col(f"_{n}") for n in parts}
     hrefs = F.filter(F.transform("_tags", _href), lambda h: h.isNotNull())
-    clean = F.transform(hrefs, lambda h: strip(unescape_attribute(unquote(h))))
-    links = F.transform(clean, lambda h: resolve_link(F.col(url), address, h))
-    named = F.transform(links, lambda a: F.struct(a.alias("link"), file_name(a).alias("file_name")))
-    return per_page.select(*keep, F.posexplode(named).alias("pos", "_file")).select(
-        *keep, "pos", "_file.link", "_file.file_name"
-    )
+    placed = F.transform(hrefs, lambda h, n: F.struct(n.alias("pos"), h.alias("href")))
+    if holding:
+        placed = F.filter(placed, lambda x: reduce(lambda a, b: a | b, [x["href"].contains(t) for t in holding]))
+
+    def resolved(x):
+        return x["pos"], resolve_link(F.col(url), address, strip(unescape_attribute(unquote(x["href"]))))
+
+    links = F.transform(placed, lambda x: F.struct(*[c.alias(n) for n, c in zip(("pos", "link"), resolved(x))]))
+    named = F.transform(links, lambda a: F.struct(a["pos"].alias("pos"), a["link"].alias("link"), file_name(a["link"]).alias("file_name")))
+    return per_page.select(*keep, F.inline(named))
 
 
 def service_files(files: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:

@@ -8,15 +8,15 @@ from spoorlens.functions.values import to_day
 from spoorlens.operators.calendar import events_in_text
 
 
-def read_csv(spark: SparkSession, path: str, spread: int | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
     """CSV with a header, plain or gzipped, every column as text.
 
     Files whose header differs from the first one's raise an error instead of shifting
-    values into other columns. A gzipped file is read by one task; ``spread`` divides
-    the rows over that many tasks where no join follows that shuffles them anyway.
+    values into other columns. A gzipped file is read by one task; ``spread`` deals
+    its rows over tasks of even size where no join follows that shuffles them anyway.
     """
     df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    return df if spread is None else df.repartition(spread)
+    return df.hint("rebalance") if spread else df
 
 
 def read_parquet(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:

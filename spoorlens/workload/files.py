@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from spoorlens.operators import quality, stops as stop_ops
 from spoorlens.plans import jobs
-from spoorlens.session import PARQUET_CONF, scratch_dir
+from spoorlens.session import scratch_dir
 from spoorlens.sources import readers, writers
 from spoorlens.workload import roles
 from spoorlens.workload.locations import nearest_sql, PLANAR_ORDER
@@ -46,7 +46,7 @@ def sink_roundtrip_csv(spark, folder):
 def sink_roundtrip_csv_gz(spark, folder):
     out = scratch_dir(spark, "csv-gz")
     _orders(spark, folder).write.option("header", True).option("compression", "gzip").csv(out)
-    return plain(_typed_again(readers.read_csv(spark, f"{out}/*.csv.gz", spread=4)))
+    return plain(_typed_again(readers.read_csv(spark, f"{out}/*.csv.gz", spread=True)))
 
 
 @query("SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY 1")
@@ -61,14 +61,26 @@ def sink_roundtrip_single_csv(spark, folder):
 
 @query("""
 SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month
-FROM orders WHERE year(o_orderdate) = 1997""")
+FROM orders""")
 def sink_roundtrip_partitioned(spark, folder):
+    return readers.read_parquet(spark, _partitioned(spark, folder))
+
+
+@query("""
+SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month
+FROM orders WHERE year(o_orderdate) = 1997""")
+def sink_roundtrip_one_year(spark, folder):
+    """A filter on the folders of a year reads only these."""
+    return readers.read_parquet(spark, _partitioned(spark, folder)).filter(F.col("year") == 1997)
+
+
+def _partitioned(spark, folder) -> str:
     out = scratch_dir(spark, "partitioned")
     o = table(spark, folder, "orders").select(
         "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
     )
     writers.write_parquet(o, out, partitions=["year", "month"], compression="snappy")
-    return readers.read_parquet(spark, out).filter(F.col("year") == 1997)
+    return out
 
 
 @query("""
@@ -218,8 +230,8 @@ def _master(spark, folder) -> str:
     services, stations, disruptions, out = (
         scratch_dir(spark, n) for n in ("services", "stations", "disruptions", "master")
     )
-    # Several files, as one gzipped file is read by one task.
-    _raw_services(spark, folder).repartition(8, "Stop:RDT-ID") \
+    # Files of even size, as many as the rows ask for: a gzipped one is read by one task.
+    _raw_services(spark, folder).hint("rebalance") \
         .write.option("header", True).option("compression", "gzip").csv(services)
     writers.write_csv(_raw_stations(spark, folder), stations, single=False)
     writers.write_csv(_raw_disruptions(spark, folder), disruptions, single=False)
@@ -320,21 +332,28 @@ def delay_report_job(spark, folder):
 
 
 @query("""
-WITH m AS (SELECT o_orderkey, o_orderdate FROM orders)
-SELECT count(*) AS rows, strftime(min(o_orderdate), '%Y-%m') AS first_month, strftime(max(o_orderdate), '%Y-%m') AS last_month FROM m""")
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+       epoch_us(o_orderdate) AS micros FROM orders""")
 def parquet_settings(spark, folder):
-    """Times written as microseconds and read back without a calendar rebase."""
-    saved = {k: spark.conf.get(k) for k in PARQUET_CONF}
-    for k, v in PARQUET_CONF.items():
-        spark.conf.set(k, v)
-    try:
-        out = scratch_dir(spark, "micros")
-        table(spark, folder, "orders").select("o_orderkey", "o_orderdate").write.parquet(out)
-        back = readers.read_parquet(spark, out)
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
-    return back.agg(
-        F.count("*").alias("rows"), F.date_format(F.min("o_orderdate"), "yyyy-MM").alias("first_month"),
-        F.date_format(F.max("o_orderdate"), "yyyy-MM").alias("last_month"),
-    )
+    """Every time written as microseconds and read back without a calendar rebase; the
+    settings are those of the read itself, in force when it runs."""
+    out = scratch_dir(spark, "micros")
+    o = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    o.withColumn("micros", F.unix_micros(F.to_timestamp(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit("Z"))))).write.parquet(out)
+    back = spark.read.option("datetimeRebaseMode", "CORRECTED").option("int96RebaseMode", "CORRECTED").parquet(out)
+    return plain(back)
+
+
+@query(f"""
+WITH {roles.TIMED_SQL}, parts AS ({roles.grouping_sets_sql('timed', ['service_type'], [['service_type'], []])})
+SELECT grouping_id, service_type, services_in_hour, delayed_count, long_delay_count, avg_avg_delay_all_services FROM parts""")
+def analysis_job(spark, folder):
+    """Delays by dimension as the job writes them, from a table of stops."""
+    stops, out = scratch_dir(spark, "stops"), scratch_dir(spark, "analysis")
+    roles.stops(spark, folder).write.parquet(stops)
+    got = jobs.analyse(spark, stops, out)["by_dimension"]
+    return rounded(got.select(
+        F.col("grouping_id").cast("int"), "service_type",
+        *[F.col(c).cast("long") for c in ("services_in_hour", "delayed_count", "long_delay_count")],
+        F.col("avg_avg_delay_all_services").cast("double"),
+    ), "avg_avg_delay_all_services")

@@ -256,7 +256,7 @@ WITH {DOWNLOADS_SQL}
 SELECT CAST(y AS INT) AS year, services AS file_name, 'https://data.example/files/' || services || '?v=1' AS link, o_orderkey::VARCHAR AS page
 FROM chosen""")
 def manifest_select(spark, folder):
-    links = manifest.page_links(_download_pages(spark, folder))
+    links = manifest.page_links(_download_pages(spark, folder), holding=manifest.STEMS)
     files = staged(manifest.known_files(links), "files")
     return manifest.service_files(files, first_year=1996).select(
         "year", "file_name", "link", F.regexp_extract("url", r"(\d+)$", 1).alias("page")

@@ -36,12 +36,12 @@ def test_gzip_and_spread(spark, folder):
     assert df.count() == 50 and dict(df.dtypes) == {"x": "string", "y": "string"}
 
 
-def test_single_csv_only_for_small_results(spark, folder):
+def test_the_caller_decides_on_single_csv(spark, folder):
     df = spark.range(100).repartition(4)
-    writers.write_csv(df, f"{folder}/one")
-    writers.write_csv(df, f"{folder}/many", max_rows=99)
-    assert len(glob.glob(f"{folder}/one/*.csv")) == 1 and len(glob.glob(f"{folder}/many/*.csv")) > 1
-    assert readers.read_csv(spark, f"{folder}/many").count() == 100
+    writers.write_csv(df, f"{folder}/one", single=True)
+    writers.write_csv(df, f"{folder}/many")
+    assert len(glob.glob(f"{folder}/one/part-*")) == 1
+    assert len(glob.glob(f"{folder}/many/part-*")) == 4
 
 
 def test_partitioned_overwrite(spark, folder):
@@ -173,3 +173,44 @@ def test_report_options(spark, lake):
     assert rows(got, "hour", "holiday_name") == [
         ("8", "Christmas vacation; New Year"), ("9", "Christmas vacation; New Year")]
     assert jobs.delay_report(spark, f"{root}/master", f"{root}/holidays", f"{root}/report3", skip_months=[(2024, 1)]).count() == 0
+
+
+def test_a_december_counts_and_coming_years_have_vacations(spark, lake):
+    import inspect
+
+    assert inspect.signature(jobs.delay_report).parameters["skip_months"].default == ()
+    root = lake["root"]
+    got = jobs.build_calendar(spark, f"{root}/raw-feed", f"{root}/holidays-now")
+    coming = D.today().year + 1
+    years = {r[0].year for r in got.filter("category = 'Vacation'").select("event_date").distinct().collect()}
+    assert {2015, coming} <= years
+
+
+def test_analysis_job(spark, lake):
+    root = lake["root"]
+    got = jobs.analyse(spark, f"{root}/with_weather", f"{root}/analysis")
+    total = got["by_dimension"].filter("grouping_id = '7'").first()
+    assert total.services_in_hour == got["by_time"].filter("grouping_id = '7'").first().services_in_hour
+    assert {r.measure for r in got["by_weather"].collect()} == {"T"}
+
+
+def test_nothing_staged_is_left(spark, lake):
+    import os
+
+    from spoorlens.session import scratch_dir, staged, staging_scope
+
+    with staging_scope(spark):
+        before = scratch_dir(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+        known = set(os.listdir(before))
+        staged(spark.range(3), "gone")
+        assert set(os.listdir(before)) > known
+    assert set(os.listdir(before)) == known
+
+
+def test_shuffle_width_follows_the_input(spark, folder):
+    from spoorlens import session
+
+    spark.range(1000).write.parquet(f"{folder}/t")
+    assert session.size_of(spark, [f"{folder}/t", f"{folder}/*"]) > 2 * 1000
+    assert session.size_of(spark, [f"{folder}/none*"]) == 0
+    assert session.shuffle_partitions(0) == 200 and session.shuffle_partitions(1 << 50) == 1 << 22
