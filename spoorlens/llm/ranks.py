@@ -21,15 +21,16 @@ PARTITION_SHIFT = 40
 
 
 def rerank(rows: DataFrame, keys: Sequence[str], place: Sequence[str], stage: Staging, carry: Sequence[str] = ()) -> DataFrame:
-    """Rows whose keys occur more than once: place, carried columns and ``rank``, staged.
+    """Rows whose keys occur more than once: place, carried columns, ``rank`` and, for at
+    least one row of each rank and one per partition at most, ``leads``; staged.
 
     ``keys`` and ``place`` are integers; ``place`` is different for each row. Unique
     rows are left out while sorting, so only repeats are written.
     """
     keep = [*place, *carry]
     kinds = dict(rows.dtypes)
-    names = [*keep, "rank", "again", *[f"edge_{k}" for k in keys]]
-    schema = ", ".join([*[f"{c} {kinds[c]}" for c in keep], "rank long", "again boolean", *[f"edge_{k} {kinds[k]}" for k in keys]])
+    names = [*keep, "rank", "leads", "again", *[f"edge_{k}" for k in keys]]
+    schema = ", ".join([*[f"{c} {kinds[c]}" for c in keep], "rank long", "leads boolean", "again boolean", *[f"edge_{k} {kinds[k]}" for k in keys]])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << PARTITION_SHIFT
@@ -47,7 +48,9 @@ def rerank(rows: DataFrame, keys: Sequence[str], place: Sequence[str], stage: St
             small = table.take(pa.array(chosen))
             hidden = pa.array(~edge[chosen])
             edges = [pa.compute.if_else(hidden, pa.scalar(None, table.schema.field(k).type), small.column(k)) for k in keys]
-            arrays = [small.column(c) for c in keep] + [pa.array(base + starts[chosen]), pa.array(again[chosen])] + edges
+            arrays = [small.column(c) for c in keep] + [
+                pa.array(base + starts[chosen]), pa.array(starts[chosen] == at + chosen), pa.array(again[chosen])
+            ] + edges
             return pa.Table.from_arrays(arrays, names).combine_chunks()
 
         for batch in batches:
@@ -98,10 +101,10 @@ def rerank(rows: DataFrame, keys: Sequence[str], place: Sequence[str], stage: St
             root = stitched.setdefault(last[0], last[0])
             stitched[ends[0][0]] = root
         last = ends[-1]
-    result = [*keep, "rank"]
+    result = [*keep, "rank", "leads"]
     if not stitched:
         return stage.derived(marked, marked.filter("again").select(*result))
     fix = F.broadcast(rows.sparkSession.createDataFrame(list(stitched.items()), "rank long, _root long"))
     joined = marked.join(fix, "rank", "left")
-    whole = joined.filter("again OR _root IS NOT NULL").select(*keep, F.coalesce("_root", "rank").alias("rank"))
+    whole = joined.filter("again OR _root IS NOT NULL").select(*keep, F.coalesce("_root", "rank").alias("rank"), "leads")
     return stage.derived(marked, whole)

@@ -40,11 +40,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from spoorlens.llm.common import Staging, text_of
 from spoorlens.llm.ranks import rerank
+from spoorlens.operators.skew import keyed_join
 
 LENGTH = 400
 GRAM = 8
 # One boundary in about so many bytes.
 DENSITY = 48
+NEED_BITS = 16
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -71,39 +73,35 @@ class Layout:
         ends = np.searchsorted(self.bounds, np.minimum(self.bounds[1:] - 1 + self.length, self.n), "left")
         return np.minimum(ends - np.arange(self.count), 32_000)
 
-    def has_bare(self) -> bool:
-        """Whether a window holds no whole phrase between two shared boundaries."""
-        first, last = self._inner(np.arange(self.n - self.length + 1))
-        return bool((last <= first).any())
-
-    def _inner(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = np.searchsorted(self.anchors, at, "left")
-        last = np.searchsorted(self.anchors, at + (self.length - GRAM), "right") - 1
-        # Anchors as boundaries: the start of the text comes before them unless it is one.
-        extra = 0 if len(self.anchors) and self.anchors[0] == 0 else 1
-        return first + extra, last + extra
+    def least_inner(self) -> tuple[np.ndarray, bool]:
+        """For each phrase the whole phrases in the shortest inner run that begins with it
+        (0 for none), and whether a window has no inner phrase at all."""
+        last_window = self.n - self.length
+        at = np.append(0, self.anchors[:-1] + 1)[:len(self.anchors)]  # first window of each
+        least = np.searchsorted(self.anchors, at + (self.length - GRAM), "right") - 1 - np.arange(len(self.anchors))
+        asked = at <= last_window
+        bare = bool((least[asked] < 1).any()) or len(self.anchors) == 0 or bool(self.anchors[-1] < last_window)
+        out = np.zeros(self.count, np.int64)
+        out[np.arange(len(self.anchors))[asked] + self.extra] = np.maximum(least[asked], 0)
+        return out, bare
+
+    @property
+    def extra(self) -> int:
+        """Boundaries before the first anchor: the start of the text, unless it is one."""
+        return 0 if len(self.anchors) and self.anchors[0] == 0 else 1
 
     def windows(self) -> tuple[np.ndarray, ...]:
         """Stretches of windows with the same runs: first window, end, inner run (first
         boundary and last), outer run."""
-        at = np.arange(self.n - self.length + 1)
-        i, j = self._inner(at)
+        last_window, inside = self.n - self.length, self.length - GRAM
+        turns = np.concatenate(([0], self.anchors + 1, self.anchors - inside, self.bounds, self.bounds - self.length + 1))
+        at = np.unique(turns[(turns >= 0) & (turns <= last_window)])
+        i = np.searchsorted(self.anchors, at, "left") + self.extra
+        j = np.searchsorted(self.anchors, at + inside, "right") - 1 + self.extra
         o = np.searchsorted(self.bounds, at, "right") - 1
         e = np.searchsorted(self.bounds, at + self.length, "left")
-        j = np.maximum(i, j)  # bare windows: an empty run
-        change = (np.diff(i) != 0) | (np.diff(j) != 0) | (np.diff(o) != 0) | (np.diff(e) != 0)
-        starts = np.concatenate(([0], np.flatnonzero(change) + 1))
-        return starts, np.append(starts[1:], len(at)), i[starts], j[starts], o[starts], e[starts]
-
-
-def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+        # An empty run where there is no inner phrase.
+        return at, np.append(at[1:], last_window + 1), i, np.maximum(i, j), o, e
 
 
 def keep_outside(data: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -139,6 +137,8 @@ def _arrow(work, rows: DataFrame, schema: str) -> DataFrame:
                 made = work(*[batch.column(c)[i] for c in columns])
                 if made is None:
                     continue
+                if len(made[0]) == 0:
+                    continue
                 for held, values in zip(out, made):
                     held.append(values)
                 size += len(made[0])
@@ -187,9 +187,12 @@ def _parse(docs: DataFrame, length: int) -> DataFrame:
                 b = layout.bounds.tolist()
                 view, digest = memoryview(data), xxhash.xxh3_64_intdigest
                 made = np.array([digest(view[x:y]) for x, y in zip(b, b[1:])], np.uint64).view(np.int64)
-                bare.append(layout.has_bare())
+                least, has_bare = layout.least_inner()
+                bare.append(has_bare)
                 hashes.append(made)
-                needs.append(layout.needs().astype(np.int32))
+                # The level at which the shortest inner run is ranked goes with the need.
+                level = np.where(least > 0, np.frexp(np.maximum(least, 1))[1] - 1, 31)
+                needs.append((layout.needs() + (level << NEED_BITS)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), *[batch.column(c) for c in ("key", "t1", "t2")], pa.array(sizes, pa.int64()),
                  pa.array(digests), pa.array(bare), pa.array(hashes, pa.list_(pa.int64())), pa.array(needs, pa.list_(pa.int32()))],
@@ -210,10 +213,11 @@ def _doubling(parsed: DataFrame, stage: Staging) -> list[DataFrame]:
         F.col("p.hashes").alias("k1"), "uid", "i", F.col("p.needs").alias("need")
     )
     levels = [rerank(phrases, ["k1"], ["uid", "i"], stage, ["need"])]
+    longest = F.col("need").bitwiseAND(F.lit((1 << NEED_BITS) - 1))
     h = 1
     while True:
         live = levels[-1]
-        wanted = live.filter(F.col("need") >= 2 * h)
+        wanted = live.filter(longest >= 2 * h)
         ahead = live.select("uid", (F.col("i") - h).alias("i"), F.col("rank").alias("k2"))
         pairs = stage.put(wanted.join(ahead, ["uid", "i"]).select(F.col("rank").alias("k1"), "k2", "uid", "i", "need"), "pairs")
         if pairs.isEmpty():
@@ -223,19 +227,85 @@ def _doubling(parsed: DataFrame, stage: Staging) -> list[DataFrame]:
         h *= 2
 
 
-def _runs_of(layout: Layout, ranks: dict[int, dict[int, int]], inner: np.ndarray, outer: np.ndarray):
-    """Of the (first, last) runs those that may repeat: first, phrases and the pair of ranks."""
-    out = []
-    for i, j in {*map(tuple, inner.tolist()), *map(tuple, outer.tolist())}:
-        m = j - i
-        if m < 1:
-            continue
-        k = m.bit_length() - 1
-        level = ranks.get(k, {})
-        a, b = level.get(i), level.get(j - (1 << k))
-        if a is not None and b is not None:
-            out.append((i, m, a, b))
-    return out
+def _named_runs(layout: Layout, level: np.ndarray, i: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Inner and outer runs of the windows that may repeat, as rows of first phrase,
+    phrases, and the ranks of their first and last 2^k phrases."""
+    _, _, a, b, o, e = layout.windows()
+    width = layout.count + 1
+    runs = np.unique(np.concatenate((a * width + b, o * width + e)))
+    first, phrases = runs // width, runs % width - runs // width
+    first, phrases = first[phrases > 0], phrases[phrases > 0]
+    k = np.frexp(phrases)[1] - 1
+    order = np.argsort(level * width + i)
+    places = (level * width + i)[order]
+
+    def rank_at(at: np.ndarray) -> np.ndarray:
+        found = np.minimum(np.searchsorted(places, k * width + at), len(places) - 1)
+        return np.where(places[found] == k * width + at, rank[order][found], -1)
+
+    head, tail = rank_at(first), rank_at(first + phrases - (1 << k))
+    both = (head >= 0) & (tail >= 0)
+    return np.stack((first[both], phrases[both], head[both], tail[both]), axis=1)
+
+
+class Verdicts:
+    """Stretches of windows of a text, with what is known of their runs."""
+
+    def __init__(self, layout: Layout, copied: bool, runs: pa.Scalar):
+        self.starts, self.ends, a, b, o, e = layout.windows()
+        width = layout.count + 1
+        fields = runs.values if runs.is_valid else None
+        if fields is None or len(fields) == 0:
+            known, rank, leads = np.array([-1]), np.array([-1]), np.array([False])
+        else:
+            known = _ints(fields, "i") * width + _ints(fields, "m")
+            order = np.argsort(known)
+            known, rank = known[order], _ints(fields, "rank")[order]
+            leads = fields.field("leads").to_numpy(zero_copy_only=False)[order]
+
+        def look(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            wanted = first * width + last - first
+            found = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            return np.where(known[found] == wanted, rank[found], -1), leads[found]
+
+        outer, outer_leads = look(o, e)
+        self.group, _ = look(a, b)
+        bare = b <= a
+        self.group = np.where(bare, -1, self.group)
+        self.sure = (outer >= 0) | copied
+        # Sure windows are needed only for others to be compared with. Those of one outer
+        # run are equal, so the text that leads its group stands for all.
+        stands = ~self.sure | (outer < 0) | outer_leads
+        self.told_by_bytes = (bare | (self.group >= 0)) & stands
+        self.bare, self.length = bare, layout.length
+
+    def doubtful(self) -> np.ndarray:
+        """Groups of inner runs that have a window which may or may not repeat."""
+        return np.unique(self.group[self.told_by_bytes & ~self.sure & ~self.bare])
+
+    def places(self, groups: np.ndarray) -> np.ndarray:
+        """Windows to be told by their bytes."""
+        chosen = np.flatnonzero(self.told_by_bytes & (self.bare | np.isin(self.group, groups)))
+        return np.concatenate([np.arange(self.starts[c], self.ends[c]) for c in chosen]) if len(chosen) else np.empty(0, np.int64)
+
+    def spans(self, places: np.ndarray) -> list[tuple[int, int]]:
+        """Merged spans of the sure windows and of those at ``places``."""
+        starts = np.concatenate((self.starts[self.sure], places))
+        ends = np.concatenate((self.ends[self.sure] - 1, places)) + self.length
+        if len(starts) == 0:
+            return []
+        order = np.argsort(starts)
+        starts, ends = starts[order], np.maximum.accumulate(ends[order])
+        new = np.append(True, starts[1:] > ends[:-1])
+        return list(zip(starts[new].tolist(), ends[np.append(np.flatnonzero(new)[1:] - 1, len(ends) - 1)].tolist()))
+
+
+def _ints(fields: pa.StructArray, name: str) -> np.ndarray:
+    return fields.field(name).to_numpy().astype(np.int64)
+
+
+def _listed(values: pa.Scalar) -> np.ndarray:
+    return values.values.to_numpy().astype(np.int64) if values.is_valid else np.empty(0, np.int64)
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -244,24 +314,39 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     stage = Staging(docs.sparkSession)
     plain = docs.select(F.col(f"`{key}`").cast("long").alias("key"), text_of(text).alias("text"))
     parsed = stage.put(_parse(plain, length), "parsed")
-    levels = _doubling(parsed, stage)
-    rows = stage.put(parsed.drop("hashes", "needs"), "rows")
-    stage.drop(parsed)
-
-    # One row stands for all rows of a text, as far as they differ in key.
-    texts = rows.filter(F.col("n_bytes") >= length).groupBy("t1", "t2").agg(
-        F.min("uid").alias("uid"), F.min_by("key", "uid").alias("key"), (F.count("*") > 1).alias("copied"),
-        F.max("bare").alias("bare"),
+    # One row stands for all rows of a text.
+    texts = stage.put(
+        parsed.filter(F.col("n_bytes") >= length).groupBy("t1", "t2").agg(
+            F.min("uid").alias("uid"), F.min_by("key", "uid").alias("key"), (F.count("*") > 1).alias("copied"),
+            F.max("bare").alias("bare"),
+        ), "texts",
     )
+    copies = stage.put(
+        parsed.join(texts.filter("copied").select("t1", "t2", F.col("uid").alias("first")), ["t1", "t2"])
+        .filter(F.col("uid") != F.col("first")).select(F.col("uid").alias("copy")), "copies",
+    )
+    once = keyed_join(parsed.select("uid", "hashes", "needs"), copies, [("uid", "copy")]).filter("copy IS NULL")
+    levels = _doubling(once, stage)
+    rows = stage.put(parsed.drop("hashes", "needs"), "rows")
+    stage.drop(parsed, copies)
     found = None
     for level, ranked in enumerate(levels):
-        part = ranked.select("uid", F.struct(F.lit(level).alias("level"), "i", "rank").alias("r"))
+        part = ranked.select(
+            "uid", F.struct(F.lit(level).alias("level"), "i", "rank").alias("r"), F.shiftright("need", NEED_BITS).alias("low")
+        )
         found = part if found is None else found.unionByName(part)
-    gathered = found.groupBy("uid").agg(F.collect_list("r").alias("ranks"))
+    # Short phrases repeat in most texts. A text is of interest if a position has a rank
+    # for its shortest inner run, and then from the lowest level on at which one has.
+    serves = F.when(F.col("r.level") >= F.col("low"), F.col("low"))
+    lowest = stage.put(found.groupBy("uid").agg(F.min(serves).alias("lowest")).filter("lowest IS NOT NULL"), "lowest")
+    gathered = (
+        found.join(lowest, "uid").filter(F.col("r.level") >= F.col("lowest"))
+        .groupBy("uid").agg(F.collect_list("r").alias("ranks"))
+    )
     asked = stage.put(
         texts.join(gathered, "uid", "left").filter("bare OR ranks IS NOT NULL"), "asked"
     )
-    stage.drop(*levels)
+    stage.drop(*levels, lowest)
     # The one exchange of whole texts; from here on only texts that may hold a repeat.
     same = ["t1", "t2"]
     live = _named(plain).filter(F.octet_length("text") >= length).alias("d").join(
@@ -270,51 +355,31 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     live = stage.put(live, "live")
     stage.drop(asked)
 
-    def name_runs(uid, copied, ranks, text):
-        by_level: dict[int, dict[int, int]] = {}
-        for r in ranks.as_py() or ():
-            by_level.setdefault(r["level"], {})[r["i"]] = r["rank"]
-        layout = Layout(text.as_py().encode(), length)
-        _, _, i, j, o, e = layout.windows()
-        runs = _runs_of(layout, by_level, np.stack((i, j), 1), np.stack((o, e), 1))
-        if not runs:
+    def name_runs(uid, ranks, text):
+        if not ranks.is_valid:
             return None
-        a = np.array(runs, np.int64)
-        return np.full(len(a), uid.as_py()), a[:, 0].astype(np.int32), a[:, 1].astype(np.int32), a[:, 2], a[:, 3]
+        r = ranks.values
+        runs = _named_runs(Layout(text.as_py().encode(), length), _ints(r, "level"), _ints(r, "i"), _ints(r, "rank"))
+        return np.full(len(runs), uid.as_py()), runs[:, 0].astype(np.int32), runs[:, 1].astype(np.int32), runs[:, 2], runs[:, 3]
 
     # Rows of one key and text each give their runs; these texts count as copied anyway.
     named = stage.put(
-        _arrow(name_runs, live.select("uid", "copied", "ranks", "text"), "uid long, i int, m int, k1 long, k2 long"), "runs"
+        _arrow(name_runs, live.select("uid", "ranks", "text"), "uid long, i int, m int, k1 long, k2 long"), "runs"
     )
     repeated = rerank(named, ["m", "k1", "k2"], ["uid", "i"], stage, ["m"])
     stage.drop(named)
     runs = stage.put(
-        repeated.select("uid", F.struct("m", "i", "rank").alias("r")).groupBy("uid").agg(F.collect_set("r").alias("runs")), "runs"
+        repeated.select("uid", F.struct("m", "i", "rank", "leads").alias("r")).groupBy("uid").agg(F.collect_set("r").alias("runs")), "runs"
     )
     judged = stage.put(live.drop("ranks").join(runs, "uid", "left"), "judged")
     stage.drop(live, runs)
 
-    def split(copied, runs, layout):
-        """Stretches whose windows surely repeat, and those left to their bytes with the
-        group of their inner run (-1 for none)."""
-        known = {(r["i"], r["m"]): r["rank"] for r in runs.as_py() or ()}
-        starts, ends, i, j, o, e = (x.tolist() for x in layout.windows())
-        sure, open_ = [], []
-        for s, t, a, b, c, d in zip(starts, ends, i, j, o, e):
-            if copied.as_py() or (c, d - c) in known:
-                sure.append((s, t - 1 + length))
-                if (a, b - a) in known or b <= a:
-                    open_.append((s, t, known.get((a, b - a), -1), True))
-            elif b <= a:
-                open_.append((s, t, -1, False))
-            elif (a, b - a) in known:
-                open_.append((s, t, known[a, b - a], False))
-        return _merge(sure), open_
+    def judge(copied, runs, text) -> tuple[bytes, Verdicts]:
+        data = text.as_py().encode()
+        return data, Verdicts(Layout(data, length), copied.as_py(), runs)
 
     def doubtful(copied, runs, text):
-        _, open_ = split(copied, runs, Layout(text.as_py().encode(), length))
-        groups = sorted({g for _, _, g, sure in open_ if g >= 0 and not sure})
-        return (np.array(groups, np.int64),) if groups else None
+        return (judge(copied, runs, text)[1].doubtful(),)
 
     groups = stage.put(
         _arrow(doubtful, judged.select("copied", "runs", "text"), "rank long").distinct(), "doubtful"
@@ -326,15 +391,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     asked_bytes = judged.join(wanted, "uid", "left")
 
     def hash_windows(uid, copied, runs, groups, text):
-        data = text.as_py().encode()
-        chosen = set(groups.as_py() or ())
-        at = []
-        for s, t, g, _ in split(copied, runs, Layout(data, length))[1]:
-            if g in chosen or g == -1:
-                at.append(np.arange(s, t))
-        if not at:
-            return None
-        places = np.concatenate(at)
+        data, found = judge(copied, runs, text)
+        places = found.places(_listed(groups))
         view, digest = memoryview(data), xxhash.xxh3_128_digest
         made = np.frombuffer(b"".join([digest(view[p:p + length]) for p in places.tolist()]), np.int64).reshape(-1, 2)
         return made[:, 0], made[:, 1], np.full(len(places), uid.as_py()), places.astype(np.int32)
@@ -347,9 +405,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     places = again.groupBy("uid").agg(F.collect_set("p").alias("places"))
 
     def verdict(t1, t2, copied, runs, places, text):
-        data = text.as_py().encode()
-        sure, _ = split(copied, runs, Layout(data, length))
-        spans = _merge(sure + [(p, p + length) for p in places.as_py() or ()])
+        data, found = judge(copied, runs, text)
+        spans = found.spans(_listed(places))
         kept = keep_outside(data, spans)
         return ([t1.as_py()], [t2.as_py()], [len(data) - len(kept)], [len(spans)], [hashlib.sha256(kept).hexdigest()],
                 [[{"a": a, "b": b} for a, b in spans]])
@@ -361,10 +418,15 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
         ).dropDuplicates(same), "verdicts",
     )
     stage.drop(judged, again)
-    return rows.select("key", *same, "n_bytes", "whole").join(final, same, "left").select(
+    # A text with a copy goes whole.
+    known = texts.select(*same, "copied").join(final, same, "left")
+    copied = F.coalesce("copied", F.lit(False))
+    whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n_bytes").cast("int").alias("b")))
+    return rows.select("key", *same, "n_bytes", "whole").join(known, same, "left").select(
         F.col("key").alias(key), "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept", "whole").alias("kept_sha256"),
-        F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")).alias("spans"), *same,
+        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(copied, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(copied, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", "whole")).alias("kept_sha256"),
+        F.when(copied, whole).otherwise(F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>"))).alias("spans"),
+        *same,
     )
