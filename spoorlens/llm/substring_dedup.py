@@ -41,17 +41,26 @@ GRAM = 4
 SHARD_WORDS = 60_000
 ANCHOR_SEGMENTS = 4_000
 LAST_KEY = (1 << 63) - 1
+PLACE_MASK = np.uint64((1 << 30) - 1)  # a text has fewer words than that
 
 
 def segments(ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hash, first window and end of windows of each segment."""
     grams = combine([ids[i:len(ids) - GRAM + 1 + i] for i in range(GRAM)], 50)
     choice = width - GRAM + 1
-    seen = np.lib.stride_tricks.sliding_window_view(grams, choice)
-    # The last of several equal minima, which is the same in every copy of the window.
-    anchor = np.arange(len(seen)) + choice - 1 - seen[:, ::-1].argmin(axis=1)
+    # Lowest of each ``choice`` values in a row, by minima over 1, 2, 4, ... of them. The
+    # place is in the low bits, counted down, so that the last of several equal hashes
+    # wins, which is the same one in every copy of the window.
+    places = np.arange(len(grams), dtype=np.uint64)
+    lowest = (grams & ~PLACE_MASK) | (PLACE_MASK - places)
+    reach = 1
+    while reach < choice:
+        step = min(reach, choice - reach)
+        lowest = np.minimum(lowest[:-step], lowest[step:])
+        reach += step
+    anchor = (PLACE_MASK - (lowest & PLACE_MASK)).astype(np.int64)
     starts = np.concatenate(([0], np.flatnonzero(np.diff(anchor)) + 1))
-    return grams[anchor[starts]], starts, np.append(starts[1:], len(seen))
+    return grams[anchor[starts]], starts, np.append(starts[1:], len(anchor))
 
 
 class Automaton:
@@ -171,20 +180,26 @@ def _cut_segments(live: DataFrame, width: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            columns = [batch.column(c) for c in ("uid", "key", "chosen", "z")]
-            for uid, key, chosen, z in zip(*columns):
+            ranks, firsts, sizes, names, words = [], [], [], [], []
+            digest = xxhash.xxh3_128_digest
+            for chosen, z in zip(batch.column("chosen"), batch.column("z")):
                 _, numbers = _words(unsqueezed(z.as_py()), ids)
                 _, starts, ends = segments(numbers, width)
-                for r in chosen.as_py():
-                    a, b = int(starts[r["i"]]), int(ends[r["i"]])
-                    words = numbers[a:b + width - 1].tobytes()
-                    name = np.frombuffer(xxhash.xxh3_128_digest(words), np.int64)
-                    for column, value in zip(out, (r["rank"], int(name[0]), int(name[1]), uid.as_py(), key.as_py(), a, words)):
-                        column.append(value)
-            long = pa.int64()
+                i = chosen.values.field("i").to_numpy()
+                raw = numbers.tobytes()
+                cut = [raw[8 * a:8 * b] for a, b in zip(starts[i].tolist(), (ends[i] + width - 1).tolist())]
+                words += cut
+                names += map(digest, cut)
+                ranks.append(chosen.values.field("rank").to_numpy())
+                firsts.append(starts[i])
+                sizes.append(len(i))
+            if not words:
+                continue
+            name = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
+            uid, key = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("uid", "key"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, [long, long, long, long, long, pa.int32(), pa.binary()])],
+                [*[pa.array(c, pa.int64()) for c in (np.concatenate(ranks), name[:, 0], name[:, 1], uid, key)],
+                 pa.array(np.concatenate(firsts), pa.int32()), pa.array(words, pa.binary())],
                 ["rank", "s1", "s2", "uid", "key", "first", "words"],
             )
 
