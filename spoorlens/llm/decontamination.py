@@ -32,6 +32,8 @@ SIMILARITY = 0.8
 RADIUS = 15
 BLOCKS = 8
 WIDTH = 64 // BLOCKS
+# So many different shingles of items are looked up without a join.
+LOOKED_UP = 20_000
 # White space and ASCII punctuation.
 BREAK = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 
@@ -51,6 +53,25 @@ def shingled(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _occurrences(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Shingles of ``rows`` with their places; where few are wanted, only those.
+
+    Few are looked up inside the array of a text, before it becomes rows: nearly all
+    texts then give none. More are left to the join that follows, which checks for
+    itself what it broadcasts.
+    """
+    few = [r[0] for r in wanted.limit(LOOKED_UP + 1).collect()]
+    every = rows.select("t1", "t2", F.size("shingles").alias("n"), "shingles")
+    if len(few) > LOOKED_UP:
+        return every.select("t1", "t2", "n", F.posexplode("shingles").alias("at", "h"))
+    listed = ", ".join(f"{h}L" for h in few) or "NULL"
+    found = F.expr(
+        f"CASE WHEN exists(shingles, h -> h IN ({listed})) THEN "
+        f"filter(transform(shingles, (h, i) -> struct(i AS at, h AS h)), x -> x.h IN ({listed})) END"
+    )
+    return every.select("t1", "t2", "n", F.inline(found))
+
+
 def least_in_line(shingles: int, similarity: float = SIMILARITY) -> int:
     """Shingles that line up at least in one window this alike.
 
@@ -114,8 +135,8 @@ def matches(
     )
     # Where shingles of items occur, by the window start that they stand for. Equal texts
     # have equal windows, so these go by the name of the text.
-    seen = shingled(plain.drop("key")).select("t1", "t2", F.size("shingles").alias("n"), F.posexplode("shingles").alias("at", "h"))
-    asked = known.select("k", F.posexplode("shingles").alias("i", "item_h"), "item").distinct()
+    asked = stage.put(known.select("k", F.posexplode("shingles").alias("i", "item_h"), "item").distinct(), "asked")
+    seen = _occurrences(shingled(plain.drop("key")), asked.select("item_h").distinct())
     lined = keyed_join(seen, asked, [("h", "item_h")], how="inner").select(
         "t1", "t2", "k", "item", (F.col("at") - F.col("i")).alias("start"), "n", "at"
     )

@@ -62,8 +62,9 @@ def cases(seed):
     return docs + [(200, docs[20][1]), (20, docs[20][1]), (20, docs[30][1])], items
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,looked_up", [(1, 20_000), (2, 3)])
+def test_matches_brute_force(spark, monkeypatch, seed, looked_up):
+    monkeypatch.setattr(d, "LOOKED_UP", looked_up)
     docs, items = cases(seed)
     df = spark.createDataFrame([(k, t, 1, 2) for k, t in docs], "doc_id long, text string, item_id int, k int")
     bench = spark.createDataFrame(items, "item_id long, text string")
