@@ -4,7 +4,8 @@ Texts are lower-cased and cut into words at white space and ASCII punctuation; s
 are five words. A window of an item's length that is ``SIMILARITY`` alike shares most of
 its shingles with the item, and at least one unbroken part of them at the same distance
 from the start. Shingles of documents are therefore looked up among those of the items,
-and a window is fingerprinted where enough of them line up. Fingerprints of windows and
+and a window is fingerprinted where enough of them line up; at the ends of a text the
+first or last window is, and the whole text where it is shorter than the item. Fingerprints of windows and
 of items of that length meet in a multi-index: 64 bits are cut into ``BLOCKS`` blocks,
 items are indexed under each block and under it with each bit changed. Within
 ``RADIUS`` bits one block differs in one bit at most, so every such pair meets. Then the
@@ -137,15 +138,16 @@ def matches(
     # have equal windows, so these go by the name of the text.
     asked = stage.put(known.select("k", F.posexplode("shingles").alias("i", "item_h"), "item").distinct(), "asked")
     seen = _occurrences(shingled(plain.drop("key")), asked.select("item_h").distinct())
-    lined = keyed_join(seen, asked, [("h", "item_h")], how="inner").select(
-        "t1", "t2", "k", "item", (F.col("at") - F.col("i")).alias("start"), "n", "at"
-    )
-    # As in least_in_line, per item.
-    shared = 2 * F.col("k") * similarity / (1 + similarity)
+    # Passages cut off at either end of a text line up outside it; the first or last window
+    # stands for them, and the whole text where it is shorter than the item.
+    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("i"), F.col("n") - F.col("k"))).alias("start")
+    lined = keyed_join(seen, asked, [("h", "item_h")], how="inner").select("t1", "t2", "k", "item", start, "n", "at")
+    # As in least_in_line, per item and shingles of the window.
+    shared = (F.col("k") + F.least("k", "n")) * similarity / (1 + similarity)
     floor = F.greatest(F.lit(1), F.floor(shared / (F.floor((F.col("k") - shared) / (SHINGLE - 1)) + 1) - 1e-9))
     windows = (
-        lined.filter("start >= 0 AND start + k <= n").groupBy("t1", "t2", "item", "k", "start")
-        .agg(F.count_distinct("at").alias("c")).filter(F.col("c") >= floor)
+        lined.filter((F.col("at") >= F.col("start")) & (F.col("at") < F.col("start") + F.col("k")) & (F.col("n") >= F.col("k") * similarity - 1e-9))
+        .groupBy("t1", "t2", "item", "k", "n", "start").agg(F.count_distinct("at").alias("c")).filter(F.col("c") >= floor)
         .groupBy("t1", "t2").agg(F.collect_set(F.struct("k", "start")).alias("windows"))
     )
     windows = stage.put(windows, "windows")
@@ -176,7 +178,7 @@ def matches(
     ])
     once = met.filter(F.array_position(agree, F.lit(True)) - 1 == F.col("block"))
     scored = once.select(
-        "key", "item", "start", (F.col("k") + SHINGLE - 1).alias("words"), bits.alias("bits"),
+        "key", "item", "start", (F.size("part") + SHINGLE - 1).alias("words"), bits.alias("bits"),
         _similarity(F.col("part"), F.col("item_part")).alias("similarity"),
     ).filter(F.col("similarity") >= similarity)
     best = scored.groupBy("key", "item").agg(

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from spoorlens.llm import decontamination as d
 
@@ -94,3 +95,46 @@ def test_null_keys_and_nothing(spark):
     assert [tuple(r)[:4] for r in d.matches(docs, bench).collect()] == [(None, 1, 1, 20)]
     assert d.matches(docs.limit(0), bench).count() == 0
     assert d.matches(docs, bench.limit(0)).count() == 0
+
+
+def test_passages_cut_at_the_ends_of_a_text(spark):
+    rng = random.Random(5)
+    items = [(n, [f"i{n}x{j}" for j in range(n)]) for n in (13, 14, 23, 24, 30, 45, 60)]
+    docs, parts = [], {}
+    for n, w in items:
+        for cut in (0, 1, 2):
+            for rest in (0, 1, 40):
+                for end in ("front", "back", "both"):
+                    around = [f"r{rng.getrandbits(60)}" for _ in range(rest)]
+                    if end == "front":
+                        text = w[cut:] + around
+                    elif end == "back":
+                        text = around + w[:n - cut]
+                    else:
+                        text = w[cut:n - cut]
+                    parts[len(docs)] = text
+                    docs.append((len(docs), " ".join(text)))
+    want = {}
+    for k, t in parts.items():
+        for n, w in items:
+            size = min(n, len(t))
+            s = max(jaccard(t[p:p + size], w) for p in range(len(t) - size + 1))
+            if s >= 0.8:
+                want[k, n] = s, size
+    rows = d.matches(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string"),
+    ).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["words"]) for r in rows}
+    assert len(got) == len(rows) and set(got) <= set(want)
+    for pair, (s, size) in got.items():
+        assert abs(s - want[pair][0]) < 1e-12 and size == want[pair][1]
+
+    def bits(words):
+        hashes = spark.createDataFrame([(" ".join(words),)], "text string")
+        return d.shingled(hashes).select(d.fingerprint(F.col("shingles")).alias("p")).first()["p"]
+
+    for k, n in set(want) - set(got):
+        w, t, size = dict(items)[n], parts[k], want[k, n][1]
+        starts = [p for p in range(len(t) - size + 1) if jaccard(t[p:p + size], w) >= 0.8]
+        assert all(bin((bits(t[p:p + size]) ^ bits(w)) & (2**64 - 1)).count("1") > d.RADIUS for p in starts), (k, n)
