@@ -75,14 +75,15 @@ class Layout:
 
     def least_inner(self) -> tuple[np.ndarray, bool]:
         """For each phrase the whole phrases in the shortest inner run that begins with it
-        (0 for none), and whether a window has no inner phrase at all."""
+        (0 where none begins), and whether a window has no inner phrase at all."""
         last_window = self.n - self.length
         at = np.append(0, self.anchors[:-1] + 1)[:len(self.anchors)]  # first window of each
         least = np.searchsorted(self.anchors, at + (self.length - GRAM), "right") - 1 - np.arange(len(self.anchors))
         asked = at <= last_window
         bare = bool((least[asked] < 1).any()) or len(self.anchors) == 0 or bool(self.anchors[-1] < last_window)
         out = np.zeros(self.count, np.int64)
-        out[np.arange(len(self.anchors))[asked] + self.extra] = np.maximum(least[asked], 0)
+        # Where the first window has no inner phrase, later ones of that anchor have one.
+        out[np.arange(len(self.anchors))[asked] + self.extra] = np.maximum(least[asked], 1)
         return out, bare
 
     @property
@@ -349,9 +350,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     stage.drop(*levels, lowest)
     # The one exchange of whole texts; from here on only texts that may hold a repeat.
     same = ["t1", "t2"]
-    live = _named(plain).filter(F.octet_length("text") >= length).alias("d").join(
-        asked.alias("q"), [F.col("d.t1") == F.col("q.t1"), F.col("d.t2") == F.col("q.t2"), F.col("d.key").eqNullSafe(F.col("q.key"))]
-    ).select("q.uid", "q.t1", "q.t2", "q.copied", "q.ranks", "d.text")
+    # Equal rows give one: the keys of the join are plain columns, so that its exchange
+    # serves this as well.
+    apart = {"id": F.coalesce("key", F.lit(0)), "no_id": F.col("key").isNull()}
+    live = _named(plain).filter(F.octet_length("text") >= length).withColumns(apart).drop("key").join(
+        asked.withColumns(apart).drop("key"), [*same, *apart]
+    ).dropDuplicates([*same, *apart]).select("uid", *same, "copied", "ranks", "text")
     live = stage.put(live, "live")
     stage.drop(asked)
 
@@ -362,7 +366,6 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
         runs = _named_runs(Layout(text.as_py().encode(), length), _ints(r, "level"), _ints(r, "i"), _ints(r, "rank"))
         return np.full(len(runs), uid.as_py()), runs[:, 0].astype(np.int32), runs[:, 1].astype(np.int32), runs[:, 2], runs[:, 3]
 
-    # Rows of one key and text each give their runs; these texts count as copied anyway.
     named = stage.put(
         _arrow(name_runs, live.select("uid", "ranks", "text"), "uid long, i int, m int, k1 long, k2 long"), "runs"
     )

@@ -79,6 +79,19 @@ def test_repeated_rows_and_null_keys(spark):
     assert got == want
 
 
+def test_equal_rows_lead_for_the_passages_they_share(spark):
+    rows = []
+    for seed in range(40):
+        rng = random.Random(seed)
+        text, other = ("".join(rng.choice("abcdefghij ") for _ in range(20_000)) for _ in range(2))
+        at, size = rng.randrange(500, 19_000), rng.randint(400, 450)
+        key = None if seed % 2 else seed
+        rows += [(key, text)] * 4 + [(1000 + seed, other[:9000] + text[at:at + size] + other[9000:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_array.repeats(docs).collect())
+    assert got == sorted((str(d), *b) for (d, _), b in zip(rows, brute([t for _, t in rows], 400)))
+
+
 def test_no_documents(spark):
     assert suffix_array.repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
