@@ -120,10 +120,12 @@ def _similarity(a: Column, b: Column) -> Column:
 
 def matches(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text",
-    similarity: float = SIMILARITY, radius: int = RADIUS,
+    similarity: float = SIMILARITY, radius: int = RADIUS, by_text: bool = False,
 ) -> DataFrame:
     """Pairs of document and item with the best window: its first word, its words, the
-    bits by which fingerprints differ, and the similarity."""
+    bits by which fingerprints differ, and the similarity. ``by_text`` gives the 128-bit
+    name of the text (t1, t2) in place of the key."""
+    ids = ["t1", "t2"] if by_text else ["key"]
     if radius >= 2 * BLOCKS:
         raise ValueError(f"the index finds all within {2 * BLOCKS - 1} bits")
     stage = Staging(docs.sparkSession)
@@ -151,9 +153,9 @@ def matches(
         .groupBy("t1", "t2").agg(F.collect_set(F.struct("k", "start")).alias("windows"))
     )
     windows = stage.put(windows, "windows")
-    found = shingled(plain.join(windows, ["t1", "t2"]).select("key", "windows", "text"))
-    each = found.select("key", "shingles", F.explode("windows").alias("w")).select(
-        "key", "w.k", "w.start", F.slice("shingles", F.col("w.start") + 1, F.col("w.k")).alias("part")
+    found = shingled(plain.join(windows, ["t1", "t2"]).select(*ids, "windows", "text"))
+    each = found.select(*ids, "shingles", F.explode("windows").alias("w")).select(
+        *ids, "w.k", "w.start", F.slice("shingles", F.col("w.start") + 1, F.col("w.k")).alias("part")
     )
     printed = stage.put(each.select("*", fingerprint(F.col("part")).alias("print")), "prints")
 
@@ -165,8 +167,8 @@ def matches(
     index = known.select("item", F.col("k").alias("item_k"), "item_print", F.col("shingles").alias("item_part"), F.explode(near).alias("x")).select(
         "item", "item_k", "item_print", "item_part", "x.item_block", "x.item_value"
     )
-    probes = printed.select("key", "k", "start", "part", "print", F.explode(blocks).alias("p")).select(
-        "key", "k", "start", "part", "print", "p.block", "p.value"
+    probes = printed.select(*ids, "k", "start", "part", "print", F.explode(blocks).alias("p")).select(
+        *ids, "k", "start", "part", "print", "p.block", "p.value"
     )
     bits = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     met = keyed_join(
@@ -178,13 +180,13 @@ def matches(
     ])
     once = met.filter(F.array_position(agree, F.lit(True)) - 1 == F.col("block"))
     scored = once.select(
-        "key", "item", "start", (F.size("part") + SHINGLE - 1).alias("words"), bits.alias("bits"),
+        *ids, "item", "start", (F.size("part") + SHINGLE - 1).alias("words"), bits.alias("bits"),
         _similarity(F.col("part"), F.col("item_part")).alias("similarity"),
     ).filter(F.col("similarity") >= similarity)
-    best = scored.groupBy("key", "item").agg(
+    best = scored.groupBy(*ids, "item").agg(
         F.max(F.struct("similarity", (-F.col("bits")).alias("b"), (-F.col("start")).alias("s"), "words")).alias("m")
     )
     return best.select(
-        F.col("key").alias(key), F.col("item").alias(item_key), (-F.col("m.s")).alias("start"), "m.words",
+        *(ids if by_text else [F.col("key").alias(key)]), F.col("item").alias(item_key), (-F.col("m.s")).alias("start"), "m.words",
         (-F.col("m.b")).alias("bits"), "m.similarity",
     )
