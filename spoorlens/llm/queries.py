@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import decontamination, licenses, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
+from spoorlens.llm import byte_bpe, decontamination, licenses, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
 from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,13 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return licenses.scan(docs, licenses.fit(licenses.negative_lines(docs)))
+
+
+@query()
+def op13_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = byte_bpe.encode(documents(spark, folder)).select("doc_id", "ids")
+    return byte_bpe.decode(encoded).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
