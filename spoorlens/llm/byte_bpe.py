@@ -33,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
-from spoorlens.llm.common import text_of
+from spoorlens.llm.common import slices_by_size, text_of
 
 RANKS = "byte_bpe_50k.tiktoken"
 BATCH_CHARS = 1 << 19
+SLICE_BYTES = 8 << 20
 # White space after something else: a match of the pattern starts here.
 _CUT = re.compile(r"(?<=\S)[ \n]")
 
@@ -184,7 +185,7 @@ def encode(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path, pattern)
         for whole in batches:
-            for batch in by_size(whole):
+            for batch, _, _ in slices_by_size(whole, 1, SLICE_BYTES):
                 texts = batch.column("text").to_pylist()
                 ids, byte_starts, char_starts = [], [], []
                 for t, found in zip(texts, tool.encode(texts)):
@@ -205,17 +206,6 @@ def encode(
     return out.withColumnRenamed("key", key)
 
 
-def by_size(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``most`` bytes of text, one row at least."""
-    sizes = batch.column("text").cast(pa.large_binary())
-    ends = np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset:sizes.offset + len(sizes) + 1]
-    start = 0
-    while start < len(batch):
-        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + most, "right")) - 1)
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 def decode(
     rows: DataFrame, ids: str = "ids", path: str | None = None, pattern: str | None = None, pieces: bool = False
 ) -> DataFrame:

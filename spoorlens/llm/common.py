@@ -132,3 +132,21 @@ def unsqueezed(z: bytes) -> bytes:
 def named_texts(docs: DataFrame) -> DataFrame:
     """Key, text, and a 128-bit name of the text."""
     return docs.select("key", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+
+
+def slices_by_size(batch, column: int, most: int):
+    """Slices of an Arrow batch with about ``most`` bytes in a text column, one row at
+    least; with each, the bytes of its texts one after another, and their borders."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = batch.column(column).cast(pa.large_binary())
+    borders = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
+    start = 0
+    while start < len(batch):
+        stop = max(start + 1, int(np.searchsorted(borders, borders[start] + most, "right")) - 1)
+        ends = borders[start:stop + 1]
+        yield batch.slice(start, stop - start), data[ends[0]:ends[-1]], ends - ends[0]
+        start = stop

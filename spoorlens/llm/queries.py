@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import byte_bpe, decontamination, licenses, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
+from spoorlens.llm import byte_bpe, decontamination, filter_audit, licenses, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
 from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,54 @@ def op13_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(r"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM docs GROUP BY t),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+split AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM docs),
+failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN s.doc_id > first THEN 'E' ELSE '' END AS fails
+  FROM split s JOIN firsts USING (t) LEFT JOIN marks m ON s.doc_id = m.doc_id
+),
+counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+),
+seen AS (
+  SELECT *, contains(fails, own) AS here, length(translate(fails, before, '')) < length(fails) AS earlier FROM counted, steps
+),
+audit AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT here AND NOT earlier THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN here AND NOT earlier THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN here AND earlier THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN here AND NOT earlier THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN here AND NOT earlier THEN toxic ELSE 0 END) AS toxic_lost
+  FROM seen GROUP BY ALL
+),
+shares AS (SELECT part, own, sum(removed) AS shapley FROM audit GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM audit JOIN shares USING (part, own)
+""")
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return filter_audit.audit(documents(spark, folder), labels)
