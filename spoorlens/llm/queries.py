@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spoorlens.llm import byte_bpe, decontamination, filter_audit, licenses, packing, quality_rules, sharding, simhash, substring_dedup, suffix_array, toxicity, url_filter
+from spoorlens.llm import byte_bpe, decontamination, filter_audit, licenses, packing, quality_rules, sharding, simhash, spelling, substring_dedup, suffix_array, toxicity, url_filter
 from spoorlens.llm.common import ship, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -242,3 +242,8 @@ FROM audit JOIN shares USING (part, own)
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return filter_audit.audit(documents(spark, folder), labels)
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, folder)).select("word", "form", "root", "n", "n_near", "form_n")
