@@ -28,6 +28,16 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, GAP), lambda w: w != "")
 
 
+def held_together(df: DataFrame, filter_by: str) -> DataFrame:
+    """The rows for which the column ``filter_by`` is true, found after the columns are made.
+
+    Spark moves a filter below the projections that make its columns and computes them in
+    both places. A row number in the condition keeps it above.
+    """
+    at = "_held_at"
+    return df.withColumn(at, F.monotonically_increasing_id()).filter(F.col(filter_by) & (F.col(at) >= 0)).drop(at)
+
+
 class Staging:
     """Tables written to the shared scratch folder, each read back at once.
 
