@@ -30,7 +30,7 @@ def other():
 def checked(tool, other, text):
     (ids,) = tool.encode([text])
     assert ids.tolist() == other.encode_ordinary(text)
-    assert tool.decode(ids.tolist()) == text.encode()
+    assert tool.decode(ids, np.array([0, len(ids)])) == [text.encode()]
     assert "".join(tool.pieces(ids.tolist())) == text
 
 
@@ -68,6 +68,11 @@ def test_query_on_whole_table(spark, other):
     assert rows(df) == sorted(want)
 
 
+def tool_bytes(ids):
+    tool = byte_bpe.codec(*byte_bpe.public_vocabulary())
+    return b"".join(tool.tokens[i] for i in ids)
+
+
 def test_offsets_pieces_and_odd_rows(spark, other):
     given = [(i, t, [1]) for i, t in enumerate(ODD)] + [(None, None, None), (1, " ", None), (1, " ", None)]
     docs = spark.createDataFrame(given, "doc_id long, text string, ids array<int>")
@@ -84,9 +89,9 @@ def test_offsets_pieces_and_odd_rows(spark, other):
             assert data[start:start + len(token)] == token
             assert char == sum((b & 0xC0) != 0x80 for b in data[:start + 1]) - 1
     assert byte_bpe.encode(docs.limit(0)).collect() == []
-    unknown = spark.createDataFrame([([10 ** 6],), (None,), ([],), ([101, 0],)], "ids array<int>")
-    parts = [r["decoded"] for r in byte_bpe.decode(unknown).collect()]
-    assert parts[0] is None and parts[1] == b"" and parts[2] == b"" and len(parts[3]) == 2
+    unknown = spark.createDataFrame([(1, [10 ** 6]), (2, None), (3, []), (4, [101, 0]), (5, [0, -1]), (6, [5, None])], "k int, ids array<int>")
+    parts = [r["decoded"] for r in byte_bpe.decode(unknown.coalesce(1), pieces=True).orderBy("k").collect()]
+    assert parts == [None, b"", b"", tool_bytes([101, 0]), None, None]
 
 
 def test_split_characters_come_with_the_last_token():
