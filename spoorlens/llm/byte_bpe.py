@@ -38,6 +38,7 @@ from spoorlens.llm.common import slices_by_size, text_of
 RANKS = "byte_bpe_50k.tiktoken"
 BATCH_CHARS = 1 << 19
 SLICE_BYTES = 8 << 20
+ROWS = 512
 # White space after something else: a match of the pattern starts here.
 _CUT = re.compile(r"(?<=\S)[ \n]")
 
@@ -90,9 +91,10 @@ class Codec:
         # Back again: characters of a token to bytes, by the reversed table.
         bytes_of = {c: b for b, c in enumerate(shown)}
         self.tokens = {i: bytes(bytes_of[c] for c in token) for token, i in self.tokenizer.get_vocab().items()}
-        self.widths = np.zeros(max(self.tokens) + 1, np.int32)
-        for i, token in self.tokens.items():
-            self.widths[i] = len(token)
+        by_id = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
+        self.blob = np.frombuffer(b"".join(by_id), np.uint8)  # all tokens, one after another
+        self.widths = np.array([len(token) for token in by_id], np.int32)
+        self.places = np.cumsum(self.widths, dtype=np.int64) - self.widths
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, encoded in calls of bounded size."""
@@ -126,11 +128,18 @@ class Codec:
         for i in range(done, len(texts)):
             yield np.concatenate(ids[i])
 
-    def decode(self, ids: list[int]) -> bytes | None:
-        try:
-            return b"".join([self.tokens[i] for i in ids])
-        except KeyError:
-            return None
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
+        """Bytes of each list of ids; the lists lie one after another, with borders ``ends``."""
+        known = (ids >= 0) & (ids < len(self.widths))
+        known[known] = self.widths[ids[known]] > 0
+        ids = np.where(known, ids, 0)
+        sizes = np.where(known, self.widths[ids], 0).astype(np.int64)
+        stops = np.cumsum(sizes)
+        data = self.blob[np.repeat(self.places[ids] - (stops - sizes), sizes) + np.arange(int(sizes.sum()))].tobytes()
+        borders = np.concatenate(([0], stops))[ends].tolist()
+        unknown = np.concatenate(([0], np.cumsum(~known)))[ends]
+        whole = (np.diff(unknown) == 0).tolist()
+        return [data[x:y] if ok else None for x, y, ok in zip(borders, borders[1:], whole)]
 
     def pieces(self, ids: list[int]) -> list[str] | None:
         """The text that each token completes."""
@@ -174,6 +183,15 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.astype(np.int32, copy=False)))
 
 
+def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of lists, and the borders of the lists; null lists are empty."""
+    if lists.null_count:
+        lists = pa.array([x or [] for x in lists.to_pylist()], pa.list_(pa.int32()))
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.values.slice(int(ends[0]), int(ends[-1] - ends[0]))
+    return values.fill_null(-1).to_numpy(zero_copy_only=False), ends - ends[0]
+
+
 def encode(
     docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, pattern: str | None = None
 ) -> DataFrame:
@@ -223,12 +241,13 @@ def decode(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path, pattern)
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
-                lists = [found or [] for found in part.column(at).to_pylist()]
-                columns = [*part.columns, pa.array([tool.decode(found) for found in lists], pa.binary())]
+            for start in range(0, len(batch), ROWS):
+                part = batch.slice(start, ROWS)
+                ids_at, ends = flat(part.column(at))
+                columns = [*part.columns, pa.array(tool.decode(ids_at, ends), pa.binary())]
                 if pieces:
-                    columns.append(pa.array([tool.pieces(found) for found in lists], pa.list_(pa.string())))
+                    texts = [tool.pieces(ids_at[x:y].tolist()) for x, y in zip(ends, ends[1:])]
+                    columns.append(pa.array(texts, pa.list_(pa.string())))
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *[f.name for f in new]])
 
     return given.mapInArrow(work, StructType([*given.schema.fields, *new]))
