@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from spoorlens import schemas
-from spoorlens.functions.values import epoch_to_instant, to_double, to_instant
+from spoorlens.functions.values import epoch_to_instant, month_key, to_double, to_instant
 from spoorlens.operators import skew
 from spoorlens.operators.keep_one import keep_one
+from spoorlens.session import staged
 
 
 def keep_known_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
@@ -77,6 +78,18 @@ def attach_station(stops: DataFrame, mapping: DataFrame, **options) -> DataFrame
     return skew.keyed_join(stops, pick, [("stop_station_code", "_mapped")], **options).drop("_mapped")
 
 
+def of_months(readings: DataFrame, stops: DataFrame, event_ts: str, month: str = "month") -> DataFrame:
+    """The readings of the months in which stops occur.
+
+    ``readings`` lie in month folders. The months of the stops, a row each, are found first
+    and sent to the scan, which then lists and reads their folders alone.
+    """
+    months = staged(stops.select(month_key(event_ts).alias("_month")).filter(F.col("_month") > "").distinct(), "months")
+    # Spark prunes at run time only by a side with a filter of its own.
+    wanted = F.broadcast(months.filter(F.col("_month") > ""))
+    return readings.join(wanted, F.col(month).cast("string") == F.col("_month"), "left_semi")
+
+
 def attach_weather(
     stops: DataFrame,
     weather: DataFrame,

@@ -11,7 +11,8 @@ from spoorlens.operators.keep_one import keep_one, missing_from, prefer_located
 from spoorlens.operators.nearest import nearest_site
 from spoorlens.operators.skew import keyed_join
 from spoorlens.schemas import WEATHER_EVIDENCE
-from spoorlens.session import staged
+from spoorlens.session import scratch_dir, staged
+from spoorlens.sources import bucketed, readers, writers
 from spoorlens.workload import roles
 from spoorlens.workload.registry import plain, query, r6, rounded, table
 
@@ -154,6 +155,54 @@ def weather_join_salted(spark, folder):
     return _weather_rows(_with_weather(spark, folder, small_rows=0, hot_rows=1000))
 
 
+@query(WEATHER_ROWS_SQL)
+def weather_join_in_place(spark, folder):
+    """Stops and readings written in buckets by station, day and hour; the join itself
+    reads both in place."""
+    when = F.col("stop_event_ts")
+    stops = roles.stops(spark, folder).withColumn(
+        "stop_event_ts", event_time("stop_arrival_ts", "stop_departure_ts", prefer="departure")
+    )
+    mapped = weather.attach_station(stops, _mapping(spark, folder)).select(
+        "stop_rdt_id", "stop_station_code", "stop_event_ts", "weather_station", "weather_station_distance_km",
+        F.to_date(when).alias("day"), F.hour(when).alias("hour"),
+    )
+    readings = _hourly_weather(spark, folder).select(
+        F.col("weather_station").alias("w_station"), F.col("weather_date").alias("w_day"),
+        F.col("weather_hour").alias("w_hour"), "T", "FF",
+    )
+    buckets = bucketed.buckets_for(spark, [f"{folder}/events.parquet"])
+    left = bucketed.write_bucketed(mapped, scratch_dir(spark, "stops"), ["weather_station", "day", "hour"], buckets)
+    right = bucketed.write_bucketed(readings, scratch_dir(spark, "readings"), ["w_station", "w_day", "w_hour"], buckets)
+    return _weather_rows(bucketed.join_in_place(left, right))
+
+
+@query("""
+WITH returned AS (SELECT CAST(l_shipdate AS TIMESTAMP) AS ts, l_suppkey % 100 AS station FROM lineitem WHERE l_returnflag = 'R'),
+readings AS (SELECT CAST(o_orderdate AS TIMESTAMP) AS r_ts, o_custkey % 100 AS r_station, sum(o_totalprice) AS "T" FROM orders GROUP BY 1, 2),
+joined AS (SELECT * FROM returned LEFT JOIN readings ON r_station = station AND r_ts = ts)
+SELECT strftime(ts, '%Y-%m') AS month, count(*) AS stops, count("T") AS with_weather, round(sum("T"), 2) AS total FROM joined GROUP BY 1""")
+def weather_of_months(spark, folder):
+    """Returned items as stops; of the readings, made from all orders and kept in month
+    folders, only the months in which items were returned are read."""
+    o = table(spark, folder, "orders")
+    hourly = o.groupBy(F.pmod("o_custkey", F.lit(100)).alias("station"), F.col("o_orderdate").cast("timestamp").alias("time")).agg(
+        F.sum("o_totalprice").alias("T")
+    )
+    out = scratch_dir(spark, "months")
+    writers.write_monthly(hourly, out)
+    stops = table(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R").select(
+        F.col("l_shipdate").cast("timestamp").alias("stop_event_ts"), F.pmod("l_suppkey", F.lit(100)).alias("weather_station")
+    )
+    readings = weather.of_months(readers.read_parquet(spark, out), stops, "stop_event_ts").select(
+        F.col("station").alias("weather_station"), F.to_date("time").alias("weather_date"), F.hour("time").alias("weather_hour"), "T"
+    )
+    joined = weather.attach_weather(stops, staged(readings, "readings"))
+    return joined.groupBy(F.date_format("stop_event_ts", "yyyy-MM").alias("month")).agg(
+        F.count("*").alias("stops"), F.count("T").alias("with_weather"), F.round(F.sum("T"), 2).alias("total")
+    )
+
+
 @query(f"""
 WITH {WITH_WEATHER_SQL},
 c AS (SELECT count(*) AS total, count(*) FILTER (WHERE "T" IS NOT NULL OR "FF" IS NOT NULL) AS with_weather,
