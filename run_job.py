@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from spoorlens.operators import manifest
-from spoorlens.plans import jobs
+from spoorlens.plans import incremental, jobs
 from spoorlens.session import REPORT_TIME_ZONE, get_session, staging_scope
 from spoorlens.sources import readers, writers
 
@@ -35,6 +35,8 @@ def arguments() -> argparse.Namespace:
             made[name].add_argument(f"--{option}", required=True)
     for name in ("master", "weather"):
         made[name].add_argument("--only-given-months", action="store_true")
+    for name in ("master", "compact"):
+        made[name].add_argument("--ledger", help="folder of the list of input files; only changed ones are read")
     made["weather"].add_argument("--metric", default="planar", choices=["planar", "great_circle"])
     made["weather"].add_argument("--by", default="local_hour", choices=["local_hour", "instant"])
     made["report"].add_argument("--skip-month", action="append", default=[], metavar="YYYY-MM")
@@ -68,7 +70,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
             if name != "stations":
                 df.show(20, truncate=False)
     elif a.job == "master":
-        jobs.build_master(spark, a.services, a.stations, a.disruptions, a.out, a.only_given_months)
+        if a.ledger:
+            print(incremental.refresh_master(spark, a.services, a.stations, a.disruptions, a.out, a.ledger))
+        else:
+            jobs.build_master(spark, a.services, a.stations, a.disruptions, a.out, a.only_given_months)
     elif a.job == "weather":
         done = jobs.attach_weather(
             spark, a.master, a.stations, a.readings, a.out, a.mapping_out,
@@ -89,7 +94,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         files = jobs.build_manifest(readers.read_parquet(spark, a.pages), a.first_year)
         writers.write_csv(files, a.out)
     elif a.job == "compact":
-        jobs.compact_weather(spark, a.readings, a.out)
+        if a.ledger:
+            print(incremental.refresh_months(spark, "{" + ",".join(a.readings) + "}" if len(a.readings) > 1 else a.readings[0], a.out, a.ledger))
+        else:
+            jobs.compact_weather(spark, a.readings, a.out)
     elif a.job == "analysis":
         for df in jobs.analyse(spark, a.master, a.out).values():
             df.show(50, truncate=False)

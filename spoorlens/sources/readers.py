@@ -8,7 +8,7 @@ from spoorlens.functions.values import to_day
 from spoorlens.operators.calendar import events_in_text
 
 
-def read_csv(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], spread: bool = False) -> DataFrame:
     """CSV with a header, plain or gzipped, every column as text.
 
     Files whose header differs from the first one's raise an error instead of shifting

@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from spoorlens.functions.values import (
     event_time, is_long_delay, is_month, is_short_delay, season,
 )
-from spoorlens.operators import calendar, intervals, rollup
+from spoorlens.operators import calendar, intervals, rollup, states
 from spoorlens.operators.intervals import Intervals, Points
 from spoorlens.operators.keep_one import append_missing
 from spoorlens.operators.skew import keyed_join
 from spoorlens.schemas import CALENDAR_COLUMNS, REPORT_COLUMNS
-from spoorlens.session import staged
+from spoorlens.session import scratch_dir, staged
 from spoorlens.workload import roles
 from spoorlens.workload.registry import plain, query, r6, rounded, table
 
@@ -384,3 +384,55 @@ def delay_by_type(spark, folder):
         rollup.delay_by(stops, ["service_type"]),
         *rollup.SHARES, "avg_avg_delay_all_services", "avg_avg_delay_delays_only",
     )
+
+
+# --- stored states ---------------------------------------------------------------------
+
+
+@query(f"""
+WITH {roles.TIMED_SQL}, {roles.service_hours_sql()}
+SELECT CAST(year(service_date) AS INT) AS year, {roles.season_sql('service_date')} AS season, {roles.COUNTS_SQL}
+FROM per_service GROUP BY 1, 2""")
+def report_from_states(spark, folder):
+    """Hourly states of stops without the error events, refreshed for the days on which
+    there are any; the yearly report reads states only."""
+    stops = roles.stops(spark, folder)
+    early = stops.filter(F.col("service_type") != "error")
+    out = scratch_dir(spark, "hour-states")
+    whole = rollup.timed_stops(stops, also=["service_type"])
+    states.write_states(states.hour_states(rollup.service_hours(rollup.timed_stops(early))), out)
+    changed = whole.filter(F.col("service_type") == "error").select("day").distinct()
+    states.refresh_days(states.hour_states(rollup.service_hours(whole)), out, changed)
+    kept = spark.read.parquet(out).withColumn("day", F.col("day").cast("date"))
+    report = states.merged(kept, [F.year("day").alias("year"), season("day").alias("season")])
+    return rounded(report.drop(*rollup.SHARES), "avg_avg_delay_all_services", "avg_avg_delay_delays_only")
+
+
+@query(f"""
+WITH {roles.TIMED_SQL}
+SELECT 'month' AS period, strftime(service_date, '%Y-%m') AS value, count(DISTINCT service_rdt_id) AS different_services FROM timed GROUP BY 2
+UNION ALL SELECT 'year', strftime(service_date, '%Y'), count(DISTINCT service_rdt_id) FROM timed GROUP BY 2
+UNION ALL SELECT 'day', strftime(service_date, '%Y-%m-%d'), count(DISTINCT service_rdt_id) FROM timed GROUP BY 2""")
+def services_per_period(spark, folder):
+    """Daily sets of services, stored once and united for months and years."""
+    out = scratch_dir(spark, "service-sets")
+    stops = rollup.timed_stops(roles.stops(spark, folder))
+    states.write_states(states.service_sets(stops), out)
+    sets = spark.read.parquet(out)
+    tables = [
+        states.different_services(sets, [F.date_format("day", pattern).alias("value")]).select(F.lit(name).alias("period"), "value", "different_services")
+        for name, pattern in (("day", "yyyy-MM-dd"), ("month", "yyyy-MM"), ("year", "yyyy"))
+    ]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
+@query("""
+SELECT CAST(o_orderdate AS DATE)::VARCHAR AS day, count(DISTINCT c_name) AS different_services
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+def named_services_per_day(spark, folder):
+    """Customers' names as services, which need numbers of their own."""
+    names = table(spark, folder, "customer").select("c_custkey", "c_name")
+    orders = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"), "o_custkey")
+    stops = keyed_join(orders, names, [("o_custkey", "c_custkey")], how="inner").select("day", F.col("c_name").alias("service"))
+    sets = states.service_sets(stops, staged(states.numbered(names, "c_name"), "numbers"))
+    return plain(states.different_services(sets, ["day"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from spoorlens.operators import quality, stops as stop_ops
-from spoorlens.plans import jobs
+from spoorlens.plans import incremental, jobs
 from spoorlens.session import scratch_dir
 from spoorlens.sources import readers, writers
 from spoorlens.workload import roles
@@ -108,9 +108,12 @@ def union_by_name(spark, folder):
     return c.unionByName(s, allowMissingColumns=True).select("k", "name", "balance", "nation")
 
 
-@query("""
+MONTHS_SQL = """
 SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS readings, count(T) AS with_t, round(sum(o_totalprice), 2) AS total
-FROM (SELECT o_orderdate, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS T FROM orders) GROUP BY 1""")
+FROM (SELECT o_orderdate, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS T FROM orders) GROUP BY 1"""
+
+
+@query(MONTHS_SQL)
 def monthly_compact(spark, folder):
     """Two input folders with different columns and months, compacted to month folders."""
     a, b, out = (scratch_dir(spark, n) for n in ("readings-a", "readings-b", "months"))
@@ -122,11 +125,30 @@ def monthly_compact(spark, folder):
     o.filter(finished).drop("o_orderstatus").write.parquet(a)
     o.filter(~finished).drop("o_orderstatus", "T").write.parquet(b)
     months = jobs.compact_weather(spark, [a, b], out)
+    return _months(months)
+
+
+def _months(months: DataFrame) -> DataFrame:
     return months.groupBy(F.col("month").cast("string").alias("month")).agg(
         F.count("*").alias("readings"), F.count("T").alias("with_t"), F.round(F.sum("Q"), 2).alias("total")
     )
 
 
+@query(MONTHS_SQL)
+def monthly_refreshed(spark, folder):
+    """Month folders from files that come one after another, and of which one is replaced."""
+    readings, out, ledger = (scratch_dir(spark, n) for n in ("readings", "months", "ledger"))
+    o = table(spark, folder, "orders").select(
+        F.col("o_orderdate").alias("time"), F.col("o_totalprice").alias("Q"), F.col("o_custkey").alias("T"), "o_orderstatus",
+    )
+    finished = F.col("o_orderstatus") == "F"
+    a, b = o.filter(finished).drop("o_orderstatus"), o.filter(~finished).drop("o_orderstatus", "T")
+    for name, part in (("a", a), ("b", b.filter(F.month("time") < 7)), ("b", b)):
+        part.write.mode("overwrite").parquet(f"{readings}/{name}")
+        incremental.refresh_months(spark, f"{readings}/*", out, ledger)
+    return _months(readers.read_parquet(spark, out, merge=True))
+
+
 # --- whole jobs -----------------------------------------------------------------------
 
 
@@ -239,7 +261,7 @@ def _master(spark, folder) -> str:
     return out
 
 
-@query(f"""
+MASTER_ROWS_SQL = f"""
 WITH {MASTER_SQL}
 SELECT CAST(event_id AS VARCHAR) AS stop_rdt_id, s_code AS stop_station_code, CAST(user_id AS INT) AS service_train_number,
   CAST(floor(value) AS INT) AS service_maximum_delay, event_type = 'error' AS service_completely_cancelled,
@@ -247,11 +269,16 @@ SELECT CAST(event_id AS VARCHAR) AS stop_rdt_id, s_code AS stop_station_code, CA
   round(CASE WHEN event_type <> 'purchase' THEN value / 20 - 1 END + 1.2345e-9, 6) AS stop_arrival_delay,
   strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS stop_event_ts, CAST(year(s_date) AS INT) AS year, CAST(month(s_date) AS INT) AS month,
   country AS station_country, round(geo_lat + 1.2345e-9, 6) AS station_geo_lat, cause AS disruption_cause_en,
-  strftime(d_start, '%Y-%m-%d %H:%M:%S') AS disruption_start_time_ts FROM master""")
+  strftime(d_start, '%Y-%m-%d %H:%M:%S') AS disruption_start_time_ts FROM master"""
+
+
+@query(MASTER_ROWS_SQL)
 def master_build(spark, folder):
-    master = rounded(
-        readers.read_parquet(spark, _master(spark, folder)), "stop_arrival_delay", "station_geo_lat"
-    )
+    return _master_rows(spark, _master(spark, folder))
+
+
+def _master_rows(spark, path: str) -> DataFrame:
+    master = rounded(readers.read_parquet(spark, path), "stop_arrival_delay", "station_geo_lat")
     return plain(master.select(
         "stop_rdt_id", "stop_station_code", "service_train_number", "service_maximum_delay",
         "service_completely_cancelled", "service_partly_cancelled", "stop_arrival_delay",
@@ -260,6 +287,26 @@ def master_build(spark, folder):
     ))
 
 
+@query(MASTER_ROWS_SQL)
+def master_refreshed(spark, folder):
+    """Master in two runs: the stop files of the second are new, and a third run over the
+    same files opens none."""
+    services, stations, disruptions, out, ledger = (
+        scratch_dir(spark, n) for n in ("services", "stations", "disruptions", "master", "ledger")
+    )
+    raw = _raw_services(spark, folder)
+    first = F.col("Service:Type").isin("view", "click")
+    writers.write_csv(_raw_stations(spark, folder), stations, single=False)
+    writers.write_csv(_raw_disruptions(spark, folder), disruptions, single=False)
+    for name, part in (("early", raw.filter(first)), ("late", raw.filter(~first))):
+        part.write.option("header", True).option("compression", "gzip").csv(f"{services}/{name}")
+        incremental.refresh_master(spark, f"{services}/*", stations, disruptions, out, ledger)
+    idle = incremental.refresh_master(spark, f"{services}/*", stations, disruptions, out, ledger)
+    if idle.read or idle.months:
+        raise AssertionError(f"files were read again: {idle.read}")
+    return _master_rows(spark, out)
+
+
 def _raw_weather(spark, folder) -> DataFrame:
     """View events as readings with a time in epoch milliseconds."""
     e = table(spark, folder, "events").filter(F.col("event_type") == "view")
