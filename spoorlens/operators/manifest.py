@@ -11,6 +11,7 @@ from spoorlens.functions.text import (
     file_name, page_address, resolve_link, strip, unescape_attribute, unquote,
 )
 from spoorlens.functions.values import to_int
+from spoorlens.session import spread_if_small
 
 # --- fixed values: file names ---------------------------------------------------
 SERVICES_YEARLY = r"^services-(\d{4})\.csv\.gz$"
@@ -51,7 +52,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html", holding:
     tags = F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(0))
     parts = page_address(F.col(url))
     # A step of its own: these are worked out once per page, not once per link.
-    per_page = pages.select(*keep, tags.alias("_tags"), *[c.alias(f"_{n}") for n, c in parts.items()])
+    per_page = spread_if_small(pages).select(*keep, tags.alias("_tags"), *[c.alias(f"_{n}") for n, c in parts.items()])
     address = {n: F.col(f"_{n}") for n in parts}
     hrefs = F.filter(F.transform("_tags", _href), lambda h: h.isNotNull())
     placed = F.transform(hrefs, lambda h, n: F.struct(n.alias("pos"), h.alias("href")))

@@ -67,6 +67,20 @@ def get_session(
     return spark
 
 
+SPREAD_BYTES = 64 * 1024 * 1024
+
+
+def spread_if_small(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores where it is small enough that this costs little.
+
+    A small file is one split, so that one task would do all of a costly step above it.
+    Larger inputs have splits enough and are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= cores * SPREAD_BYTES else df
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder named in ``spark.checkpoint.dir``.
 
