@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
-from spoorlens.operators import manifest
+from spoorlens.operators import manifest, quarantine
 from spoorlens.plans import incremental, jobs
 from spoorlens.session import REPORT_TIME_ZONE, get_session, staging_scope
 from spoorlens.sources import readers, writers
@@ -37,6 +37,7 @@ def arguments() -> argparse.Namespace:
         made[name].add_argument("--only-given-months", action="store_true")
     for name in ("master", "compact"):
         made[name].add_argument("--ledger", help="folder of the list of input files; only changed ones are read")
+    made["master"].add_argument("--rejects-out", help="folder for values and lines that cannot be read")
     made["weather"].add_argument("--metric", default="planar", choices=["planar", "great_circle"])
     made["weather"].add_argument("--by", default="local_hour", choices=["local_hour", "instant"])
     made["report"].add_argument("--skip-month", action="append", default=[], metavar="YYYY-MM")
@@ -73,7 +74,12 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         if a.ledger:
             print(incremental.refresh_master(spark, a.services, a.stations, a.disruptions, a.out, a.ledger))
         else:
-            jobs.build_master(spark, a.services, a.stations, a.disruptions, a.out, a.only_given_months)
+            jobs.build_master(
+                spark, a.services, a.stations, a.disruptions, a.out, a.only_given_months, a.rejects_out
+            )
+            if a.rejects_out:
+                found = quarantine.counts(readers.read_parquet(spark, a.rejects_out))
+                found.orderBy(F.desc("rejects")).show(50, truncate=False)
     elif a.job == "weather":
         done = jobs.attach_weather(
             spark, a.master, a.stations, a.readings, a.out, a.mapping_out,

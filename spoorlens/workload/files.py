@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from spoorlens.operators import quality, stops as stop_ops
+from spoorlens.operators import quality, quarantine, stops as stop_ops
+from spoorlens.operators.skew import keyed_join
 from spoorlens.plans import incremental, jobs
 from spoorlens.session import scratch_dir
 from spoorlens.sources import readers, writers
@@ -307,6 +308,45 @@ def master_refreshed(spark, folder):
     return _master_rows(spark, out)
 
 
+@query("""
+WITH bad AS (
+  SELECT event_type AS file, unnest([
+    CASE WHEN value > 250 THEN 'service_train_number:whole number' END,
+    CASE WHEN event_type = 'signup' THEN 'service_date:date' END,
+    CASE WHEN event_type = 'click' AND value < 50 THEN 'stop_departure_delay:number' END]) AS what
+  FROM events WHERE NOT (event_type = 'error' AND value < 20)
+  UNION ALL SELECT event_type, ':line' FROM events WHERE event_type = 'error' AND value < 20)
+SELECT file, nullif(split_part(what, ':', 1), '') AS "column", split_part(what, ':', 2) AS expected, count(*) AS rejects
+FROM bad WHERE what IS NOT NULL GROUP BY ALL""")
+def rejected_values(spark, folder):
+    """Stop files with spoilt numbers, dates and lines: what the master job rejects."""
+    services, stations, disruptions, out, rejects = (
+        scratch_dir(spark, n) for n in ("services", "stations", "disruptions", "master", "rejects")
+    )
+    e = table(spark, folder, "events").select(F.col("event_id").cast("string").alias("_id"), "event_type", "value")
+    raw = keyed_join(_raw_services(spark, folder), e, [("Stop:RDT-ID", "_id")], how="inner")
+    kind, value = F.col("event_type"), F.col("value")
+    spoilt = raw.withColumns({
+        "Service:Train number": F.when(value > 250, F.lit("12x")).otherwise(F.col("Service:Train number")),
+        "Service:Date": F.when(kind == "signup", F.lit("31.12.2024")).otherwise(F.col("Service:Date")),
+        "Stop:Departure delay": F.when((kind == "click") & (value < 50), F.lit("late")).otherwise(F.col("Stop:Departure delay")),
+    }).drop("Extra")
+    names = [c for c in spoilt.columns if c not in ("_id", "event_type", "value")]
+    line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names])
+    broken = F.when((kind == "error") & (value < 20), F.concat(line, F.lit(",one,more"))).otherwise(line)
+    # Plain lines, as a writer of CSV would not spoil them; the header is each file's first.
+    text = spoilt.select(broken.alias("value"), kind.alias("kind"))
+    for name in [r[0] for r in text.select("kind").distinct().collect()]:  # five kinds of events
+        head = spark.createDataFrame([(",".join(names),)], "value string").coalesce(1)
+        lines = head.unionByName(text.filter(F.col("kind") == name).select("value")).coalesce(1)
+        lines.write.text(f"{services}/{name}")
+    writers.write_csv(_raw_stations(spark, folder), stations, single=False)
+    writers.write_csv(_raw_disruptions(spark, folder), disruptions, single=False)
+    jobs.build_master(spark, f"{services}/*", stations, disruptions, out, rejects_out=rejects)
+    found = quarantine.counts(readers.read_parquet(spark, rejects))
+    return found.withColumn("file", F.regexp_extract("file", r"([^/]+)/[^/]+$", 1))
+
+
 def _raw_weather(spark, folder) -> DataFrame:
     """View events as readings with a time in epoch milliseconds."""
     e = table(spark, folder, "events").filter(F.col("event_type") == "view")

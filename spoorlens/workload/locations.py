@@ -256,6 +256,24 @@ def weather_delay_corr(spark, folder):
     })
 
 
+@query(f"""
+WITH {WITH_WEATHER_SQL},
+d AS (SELECT "T" AS a, km AS b, coalesce(arr_delay, dep_delay, 0.0) AS y FROM joined WHERE "T" IS NOT NULL AND km IS NOT NULL),
+c AS (SELECT count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab,
+        covar_pop(a, y) AS ay, covar_pop(b, y) AS b_y, var_pop(y) AS yy FROM d),
+s AS (SELECT *, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS ka, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS kb FROM c)
+SELECT 'T' AS term, round(ka, 8) AS coefficient, n AS stops, round((ka * ay + kb * b_y) / yy, 8) AS explained FROM s
+UNION ALL SELECT 'weather_station_distance_km', round(kb, 8), n, round((ka * ay + kb * b_y) / yy, 8) FROM s
+UNION ALL SELECT '(intercept)', round(my - ka * ma - kb * mb, 8), n, round((ka * ay + kb * b_y) / yy, 8) FROM s""")
+def weather_delay_model(spark, folder):
+    """Temperature and distance together, where each alone could take credit for the other."""
+    joined = _with_weather(spark, folder).withColumn(
+        "delay", delay_minutes("stop_arrival_delay", "stop_departure_delay")
+    )
+    model = rollup.weather_model(joined, ["T", "weather_station_distance_km"], "delay")
+    return model.withColumns({c: F.round(c, 8) for c in ("coefficient", "explained")})
+
+
 @query(f"""
 WITH {WITH_WEATHER_SQL},
 d AS (SELECT CAST(floor("T" / 25) AS BIGINT) AS band, coalesce(arr_delay, dep_delay, 0.0) AS y FROM joined)
