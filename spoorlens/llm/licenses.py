@@ -1,13 +1,17 @@
 """Licence notices by a trained paragraph classifier.
 
-A paragraph is a line. Its features are hashed word 1- to 3-grams. One sparse logistic
+A paragraph is a line; one of more than ``WINDOW`` words is read in windows of so many,
+each half a window on, so that a notice inside a long text without line breaks is seen by
+itself. Its features are hashed word 1- to 3-grams. One sparse logistic
 regression per licence family (FTRL with L1, as in ``toxicity``) learns from variants of
 the family's templates, made by rule, against the other families and lines of the
 corpus. Scores are calibrated on a fifth of the examples that the fit did not see
-(Platt), and the unknown class takes the probability that no family claims. A family
-that is likelier than the rest is confirmed if five-word shingles agree with one of its
-templates: ``SIMILARITY`` of the template's are in the paragraph, or of the paragraph's
-in the template, for notices broken into lines.
+(Platt), and the unknown class takes the probability that no family claims. Every family
+whose own probability reaches ``CLAIM`` is compared with its templates, so a line may hold
+several notices. It is confirmed if five-word shingles agree with one of them:
+``SIMILARITY`` of the template's are in the paragraph, or of the paragraph's in the
+template, for notices broken into lines. Of families whose templates are much alike, as
+those of one publisher, the closest is confirmed alone.
 
 The fit is bounded: ``VARIANTS`` per template and at most ``NEGATIVES`` lines of
 ``NEGATIVE_DOCS`` documents, chosen by hash of the key, of ``NEGATIVE_WORDS`` words at
@@ -39,6 +43,9 @@ NEGATIVE_WORDS = 300
 PASSES = 3
 SHINGLE = 5
 SIMILARITY = 0.8
+WINDOW = 120  # twice the words of the longest template, and more
+CLAIM = 0.05
+RIVAL = 0.5
 
 # Notices as their licences word them.
 TEMPLATES: dict[str, list[str]] = {
@@ -71,6 +78,29 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "lgpl-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "agpl-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "isc": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "epl-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    ],
+    "cc-by-sa-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
     "cc0-1.0": [
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
         "This work is dedicated to the public domain under CC0 1.0 Universal.",
@@ -205,6 +235,46 @@ def _alike(words: list[bytes], family: str) -> float:
     return best
 
 
+def _rivals() -> dict[str, set[str]]:
+    """Families with templates of which more than ``RIVAL`` of the shingles agree."""
+    return {
+        a: {
+            b for b in FAMILIES if a != b and any(
+                len(x & y) > RIVAL * min(len(x), len(y)) for x in _TEMPLATE_SHINGLES[a] for y in _TEMPLATE_SHINGLES[b]
+            )
+        } for a in FAMILIES
+    }
+
+
+RIVALS = _rivals()
+
+
+def confirmed(words: list[bytes], claims: list[str]) -> dict[str, float]:
+    """The families among ``claims`` that a paragraph is confirmed for, with its similarity."""
+    found = {family: _alike(words, family) for family in claims}
+    found = {family: alike for family, alike in found.items() if alike >= SIMILARITY}
+    return {
+        family: alike for family, alike in found.items()
+        if alike >= max((_alike(words, other) for other in RIVALS[family]), default=0.0)
+    }
+
+
+def paragraphs(text: str) -> tuple[list[list[bytes]], list[int]]:
+    """Words of each line, long ones in windows, and the line of each."""
+    parts, lines = [], []
+    for at, line in enumerate(text.split("\n")):
+        words = tokens(line)
+        starts = range(0, max(len(words) - WINDOW // 2, 1), WINDOW // 2)
+        parts += [words[a:a + WINDOW] for a in starts]
+        lines += [at] * len(starts)
+    return parts, lines
+
+
+def own_probabilities(scores: np.ndarray, m: Model) -> np.ndarray:
+    """Calibrated probability of each family by itself."""
+    return 1 / (1 + np.exp(-np.clip(scores * m.slopes + m.shifts, -35, 35)))
+
+
 def probabilities(scores: np.ndarray, m: Model) -> np.ndarray:
     """Rows of family probabilities and, last, that of no family."""
     odds = np.exp(np.clip(scores * m.slopes + m.shifts, -35, 35))
@@ -228,7 +298,7 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             for text in batch.column("text").to_pylist():
-                lines = [tokens(line) for line in text.split("\n")]
+                lines, line_of = paragraphs(text)
                 found, owner = line_features(lines, ids)
                 rows_ = row_of[found]
                 hit = rows_ >= 0
@@ -240,17 +310,16 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
                     places, which = np.unique(pairs // len(m.places), return_inverse=True)
                     scores = np.tile(m.intercepts, (len(places), 1))
                     np.add.at(scores, which, m.values[pairs % len(m.places)])
-                    chance = probabilities(scores, m)
-                    top = chance.argmax(axis=1)
-                    for i in np.flatnonzero(top < len(FAMILIES)).tolist():
-                        family = FAMILIES[top[i]]
-                        alike = _alike(lines[places[i]], family)
-                        if alike >= SIMILARITY:
+                    chance = own_probabilities(scores, m)
+                    for i in np.flatnonzero((chance >= CLAIM).any(axis=1)).tolist():
+                        claims = [FAMILIES[f] for f in np.flatnonzero(chance[i] >= CLAIM).tolist()]
+                        for family, alike in confirmed(lines[places[i]], claims).items():
                             families.add(family)
-                            now = (family, int(places[i]), float(chance[i, top[i]]), alike)
+                            now = (family, line_of[places[i]], float(chance[i, FAMILIES.index(family)]), alike)
                             if best[0] is None or now[2] > best[2]:
                                 best = now
-                row = (sum(1 for line in lines if line), sorted(families), *best)
+                filled = len({line for line, words in zip(line_of, lines) if words})
+                row = (filled, sorted(families), *best)
                 for column, value in zip(out, row):
                     column.append(value)
             kinds = [pa.int32(), pa.list_(pa.string()), pa.string(), pa.int32(), pa.float64(), pa.float64()]

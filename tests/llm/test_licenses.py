@@ -59,3 +59,30 @@ def test_unknown_takes_what_is_left(model):
     chance = licenses.probabilities(np.array([[-9.0] * len(licenses.FAMILIES), [9.0] + [-9.0] * (len(licenses.FAMILIES) - 1)]), model)
     assert np.allclose(chance.sum(axis=1), 1)
     assert chance[0].argmax() == len(licenses.FAMILIES) and chance[1].argmax() == 0
+
+
+def test_several_notices_and_notices_in_long_lines(spark, model):
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    notice = "Released under the MIT License."
+    long_one = licenses.TEMPLATES["gpl-3.0"][1]
+    texts = {
+        1: ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", ["apache-2.0", "mit"]),
+        2: (f"{prose(900)} {notice} {prose(700)}", ["mit"]),
+        3: (f"{prose(333)} {long_one} {prose(2000)} Licensed under CC BY 4.0. {prose(5)}", ["cc-by-4.0", "gpl-3.0"]),
+        4: (prose(5000), []),
+        **{10 + n: (template, [family]) for n, (family, template) in enumerate((f, t) for f, ts in licenses.TEMPLATES.items() for t in ts)},
+    }
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licenses.scan(docs, model).collect()}
+    assert got == {k: want for k, (_, want) in texts.items()}
+
+
+def test_windows_hold_every_template_whole():
+    longest = max(len(licenses.tokens(t)) for ts in licenses.TEMPLATES.values() for t in ts)
+    assert licenses.WINDOW // 2 >= longest
+    for n in (1, 60, 61, 120, 121, 500):
+        parts, lines = licenses.paragraphs(" ".join(f"w{i}" for i in range(n)) + "\n\nend")
+        held = [set(p) for p, line in zip(parts, lines) if line == 0]
+        assert set().union(*held) == {f"w{i}".encode() for i in range(n)} and max(map(len, parts)) <= licenses.WINDOW
+        assert lines[-1] == 2 and parts[-1] == [b"end"]
