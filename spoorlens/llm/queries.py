@@ -127,10 +127,9 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op10_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    docs = documents(spark, folder).select("doc_id", "text", F.crc32(text_of()).alias("text_crc32"))
-    placed = sharding.shard_documents(docs, shards=8, with_text=False)
+    placed = sharding.shard_documents(documents(spark, folder).select("doc_id", "text"), shards=8)
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        "doc_id", "size", F.crc32(text_of()).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
