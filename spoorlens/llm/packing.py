@@ -16,7 +16,6 @@ null doc_ids as well. Further columns of the input are not read.
 from __future__ import annotations
 
 import base64
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,6 +31,7 @@ END_ID = 2
 GROUP_ROWS = 16_384
 MOST_GROUP_ROWS = 262_144
 ROUNDS = 4
+PIECES = 2_000
 TOKENIZER = "byte_bpe_50k"
 
 
@@ -56,35 +56,34 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def tokenize(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-    tokenizer: str = TOKENIZER, with_ids: bool = False,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
 ) -> DataFrame:
-    """Pieces of every document: key, piece, start, length, crc of the ids, and the ids
-    themselves where asked for."""
-    schema = [("key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-    kinds = "key long, piece int, start long, length long, ids_crc32 long"
-    if with_ids:
-        schema.append(("ids", pa.list_(pa.int32())))
-        kinds += ", ids array<int>"
+    """Pieces of every document: key, piece, start, length, and the ids, four bytes each,
+    the lowest first."""
+    names = ["key", "piece", "start", "length", "ids"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(tokenizer)
         end = np.array([END_ID], dtype="<u4")
+
+        def made(out: list[list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds)], names)
+
         for batch in batches:
-            out: list[list] = [[] for _ in schema]
+            out: list[list] = [[] for _ in names]
             for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.concatenate((encoder.encode_to_numpy(t, allowed_special="all"), end)).astype("<u4", copy=False)
                 for piece, (start, length) in enumerate(cut(len(ids), capacity)):
-                    part = ids[start:start + length]
-                    row = [k, piece, start, length, zlib.crc32(part.tobytes())]
-                    if with_ids:
-                        row.append(part.astype(np.int32))
-                    for column, value in zip(out, row):
+                    for column, value in zip(out, (k, piece, start, length, ids[start:start + length].tobytes())):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(out, schema)], [n for n, _ in schema])
+                if len(out[0]) >= PIECES:
+                    yield made(out)
+                    out = [[] for _ in names]
+            yield made(out)
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), text_of(text).alias("text"))
-    return rows.mapInArrow(work, kinds)
+    return rows.mapInArrow(work, "key long, piece int, start long, length long, ids binary")
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -207,5 +206,21 @@ def pack(
 def pack_documents(
     docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
 ) -> DataFrame:
-    """Token pieces of ``docs`` with their place in sequences."""
-    return pack(tokenize(docs, key, text, capacity, tokenizer), capacity).withColumnRenamed("key", key)
+    """Token pieces of ``docs`` with their ids and their place in sequences.
+
+    Lengths alone are packed; the ids join their places once these are known.
+    """
+    stage = Staging(docs.sparkSession)
+    pieces = tokenize(docs, key, text, capacity, tokenizer).withColumn("row", F.monotonically_increasing_id())
+    pieces = stage.put(pieces, "token-pieces")
+    places = pack(pieces.select("row", "length"), capacity).select(F.col("row").alias("placed"), "sequence_id", "offset")
+    whole = pieces.join(places, F.col("row") == F.col("placed"))
+    return whole.select(F.col("key").alias(key), "piece", "start", "length", "ids", "sequence_id", "offset")
+
+
+def sequences(placed: DataFrame) -> DataFrame:
+    """Whole sequences of what ``pack_documents`` has placed: sequence_id, ids, and their
+    number. A sequence has one piece per token at most."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", F.hex("ids").alias("ids"))))
+    joined = F.unhex(F.array_join(F.transform(parts, lambda p: p["ids"]), ""))
+    return placed.groupBy("sequence_id").agg(joined.alias("ids"), F.sum("length").alias("length"))

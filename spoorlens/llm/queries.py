@@ -142,7 +142,7 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder)).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )
 
 

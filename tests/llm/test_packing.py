@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from spoorlens.llm import packing
+from spoorlens.session import staged
 
 
 def reference_ids(text):
@@ -35,8 +36,9 @@ def test_documents(spark):
     some = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     texts = [None, "", " ", "a <|endoftext|> b", "x" * 9000, "word " * 5000, "😀é́\r\n\t", "z"] + some + ["z", "z"]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(None, "z", 1), (7, "z", 1)], "doc_id long, text string, length int")
-    out = packing.pack_documents(docs).collect()
-    got = sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out), key=str)
+    placed = staged(packing.pack_documents(docs), "placed")
+    out = placed.collect()
+    got = sorted(((r["doc_id"], r["piece"], r["start"], r["length"], zlib.crc32(r["ids"])) for r in out), key=str)
     want = []
     for d, t in [*enumerate(texts), (None, "z"), (7, "z")]:
         ids = reference_ids(t)
@@ -47,6 +49,14 @@ def test_documents(spark):
     assert got == sorted(want, key=str)
     bins = placed_whole(out, 1024)
     assert bins <= packing.lower_bound(np.array([r["length"] for r in out]), 1024) + 1
+    # Sequences hold the ids of their pieces, one after another.
+    built = packing.sequences(placed).collect()
+    assert len(built) == bins
+    of = {}
+    for r in sorted(out, key=lambda r: r["offset"]):
+        of[r["sequence_id"]] = of.get(r["sequence_id"], b"") + bytes(r["ids"])
+    assert {r["sequence_id"]: bytes(r["ids"]) for r in built} == of
+    assert all(len(r["ids"]) == 4 * r["length"] <= 4096 for r in built)
 
 
 def test_exchange_lowers_the_count(spark):
