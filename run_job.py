@@ -45,9 +45,9 @@ def arguments() -> argparse.Namespace:
     made["report"].add_argument("--last-day")
     made["report"].add_argument("--one-row-per-stop", action="store_true")
     made["report"].add_argument("--collapse-holidays", action="store_true")
-    made["calendar"].add_argument("--last-year", type=int, help="of repeated holidays; default: the coming year")
+    made["calendar"].add_argument("--last-year", type=int, help="of repeated holidays; default: the year after the last event")
     made["calendar"].add_argument("--first-vacation-year", type=int, default=2015)
-    made["calendar"].add_argument("--last-vacation-year", type=int, help="default: the coming year")
+    made["calendar"].add_argument("--last-vacation-year", type=int, help="default: the year after the last event")
     made["manifest"].add_argument("--first-year", type=int, default=manifest.FIRST_YEAR)
     made["compact"].add_argument("--readings", action="append", required=True)
     return parser.parse_args()
