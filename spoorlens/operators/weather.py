@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from spoorlens import schemas
 from spoorlens.functions.values import epoch_to_instant, month_key, to_double, to_instant
@@ -123,3 +123,31 @@ def attach_weather(
         stops.withColumns(left), hourly, [("weather_station", "_w_station"), *on], **options
     )
     return joined.drop("_w_station", *left, *right)
+
+
+def attach_next_weather(
+    stops: DataFrame, mapping: DataFrame, weather: DataFrame, event_ts: str = "stop_event_ts",
+) -> DataFrame:
+    """Left join of the hour's weather from the nearest of several stations that has it.
+
+    ``mapping`` has several weather stations per station code, by ``place``. Which of them
+    serves is settled per station, date and hour that occur, and not per stop: a row per
+    candidate meets the hours that have readings, and the lowest place stays.
+    """
+    asked = stops.select(
+        F.col("stop_station_code").alias("_code"), F.to_date(event_ts).alias("_a_day"), F.hour(event_ts).alias("_a_hour")
+    ).dropna().distinct()
+    candidates = mapping.select(F.col("station_code").alias("_candidate_of"), "place", "weather_station", "distance_km")
+    hours = staged(weather.select(
+        F.col("weather_station").alias("_w_station"), F.col("weather_date").alias("_w_day"), F.col("weather_hour").alias("_w_hour")
+    ).distinct(), "hours")
+    each = skew.keyed_join(asked, candidates, [("_code", "_candidate_of")], how="inner")
+    met = skew.keyed_join(each, hours, [("weather_station", "_w_station"), ("_a_day", "_w_day"), ("_a_hour", "_w_hour")], how="inner")
+    first = Window.partitionBy("_code", "_a_day", "_a_hour").orderBy("place")
+    serving = staged(
+        met.withColumn("_first", F.row_number().over(first)).filter("_first = 1")
+        .select("_code", "_a_day", "_a_hour", "place", "weather_station", F.col("distance_km").alias("weather_station_distance_km")), "serving",
+    )
+    dated = stops.withColumns({"_day": F.to_date(event_ts), "_hour": F.hour(event_ts)})
+    mapped = skew.keyed_join(dated, serving, [("stop_station_code", "_code"), ("_day", "_a_day"), ("_hour", "_a_hour")])
+    return attach_weather(mapped.drop("_code", "_a_day", "_a_hour", "_day", "_hour"), weather, event_ts)

@@ -8,7 +8,7 @@ from spoorlens.functions.geo import great_circle_km, planar_distance_sq
 from spoorlens.functions.values import all_present, any_missing, delay_minutes, event_time
 from spoorlens.operators import quality, rollup, weather
 from spoorlens.operators.keep_one import keep_one, missing_from, prefer_located
-from spoorlens.operators.nearest import nearest_site
+from spoorlens.operators.nearest import nearest_site, nearest_sites
 from spoorlens.operators.skew import keyed_join
 from spoorlens.schemas import WEATHER_EVIDENCE
 from spoorlens.session import scratch_dir, staged
@@ -83,6 +83,40 @@ def shipment_distances(spark, folder):
     )
 
 
+def nearest_places_sql(k: int) -> str:
+    return f"""{roles.PLACES_SQL},
+ranked AS (SELECT station_code, weather_station, stationname, {roles.KM_SQL} AS km,
+  row_number() OVER (PARTITION BY station_code ORDER BY {PLANAR_ORDER}, weather_station) AS place FROM trains, sites),
+mapping AS (SELECT * FROM ranked WHERE place <= {k})"""
+
+
+@query(f"""
+WITH {nearest_places_sql(3)}
+SELECT station_code, CAST(place AS INT) AS place, weather_station, stationname, round(km + 1.2345e-9, 6) AS distance_km FROM mapping""")
+def nearest_three_stations(spark, folder):
+    found = nearest_sites(roles.train_stations(spark, folder), roles.weather_sites(spark, folder), 3)
+    return found.select("station_code", "place", "weather_station", "stationname", r6("distance_km").alias("distance_km"))
+
+
+@query(f"""
+WITH {roles.STOPS_SQL}, {nearest_places_sql(3)},
+readings AS (SELECT user_id % 100 AS w_station, CAST(ts AS DATE) AS w_date, hour(ts) AS w_hour, max(value) AS "T"
+             FROM events WHERE event_type = 'view' GROUP BY 1, 2, 3),
+timed_stops AS (SELECT *, coalesce(dep, arr) AS event_at FROM stops),
+met AS (SELECT stop_rdt_id, place, weather_station, "T", row_number() OVER (PARTITION BY stop_rdt_id ORDER BY place) AS n
+  FROM timed_stops JOIN mapping ON station_code = stop_station_code
+  JOIN readings ON w_station = weather_station AND w_date = CAST(event_at AS DATE) AND w_hour = hour(event_at))
+SELECT s.stop_rdt_id, CAST(place AS INT) AS place, weather_station, "T" FROM timed_stops s LEFT JOIN met m ON m.stop_rdt_id = s.stop_rdt_id AND n = 1""")
+def weather_of_next_station(spark, folder):
+    """The hour's weather of the nearest of three stations that has a reading for it."""
+    stops = roles.stops(spark, folder).withColumn(
+        "stop_event_ts", event_time("stop_arrival_ts", "stop_departure_ts", prefer="departure")
+    )
+    mapping = nearest_sites(roles.train_stations(spark, folder), roles.weather_sites(spark, folder), 3)
+    joined = weather.attach_next_weather(stops, mapping, staged(_hourly_weather(spark, folder), "hourly"))
+    return joined.select("stop_rdt_id", "place", "weather_station", "T")
+
+
 # --- weather joins ---------------------------------------------------------------
 
 
