@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from spoorlens.llm.common import Staging, named_texts, squeezed, text_of, unsqueezed
 from spoorlens.llm.hashing import WordIds, combine
 from spoorlens.llm.ranks import rerank
+from spoorlens.operators.skew import keyed_join
 
 WIDTH = 13
 GRAM = 4
@@ -68,7 +69,7 @@ class Automaton:
     documents in which its strings end."""
 
     def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
+        self.next: list[dict[bytes, int]] = [{}]
         self.link = [-1]
         self.length = [0]
         self.key = [LAST_KEY]
@@ -80,7 +81,7 @@ class Automaton:
         self.key.append(key)
         return len(self.link) - 1
 
-    def _split(self, at: int, word: int, whole: int, key: int) -> int:
+    def _split(self, at: int, word: bytes, whole: int, key: int) -> int:
         """The part of state ``whole`` that ``at`` leads to by ``word``, as its own state."""
         part = self._state(self.length[at] + 1, key)
         self.next[part] = dict(self.next[whole])
@@ -91,7 +92,7 @@ class Automaton:
             at = self.link[at]
         return part
 
-    def add(self, words: list[int], key: int) -> None:
+    def add(self, words: list[bytes], key: int) -> None:
         length, link, follow = self.length, self.link, self.next
         last = 0
         for word in words:
@@ -120,7 +121,7 @@ class Automaton:
             if self.key[state] < self.key[above]:
                 self.key[above] = self.key[state]
 
-    def lowest_keys(self, words: list[int], width: int) -> list[int]:
+    def lowest_keys(self, words: list[bytes], width: int) -> list[int]:
         """For each window of ``words`` the lowest key of a document that holds it.
 
         Goes along the words with the longest suffix that the reference knows."""
@@ -183,11 +184,12 @@ def _cut_segments(live: DataFrame, width: int) -> DataFrame:
             ranks, firsts, sizes, names, words = [], [], [], [], []
             digest = xxhash.xxh3_128_digest
             for chosen, z in zip(batch.column("chosen"), batch.column("z")):
-                _, numbers = _words(unsqueezed(z.as_py()), ids)
+                parts, numbers = _words(unsqueezed(z.as_py()), ids)
                 _, starts, ends = segments(numbers, width)
                 i = chosen.values.field("i").to_numpy()
-                raw = numbers.tobytes()
-                cut = [raw[8 * a:8 * b] for a, b in zip(starts[i].tolist(), (ends[i] + width - 1).tolist())]
+                joined = b" ".join(parts)
+                at = np.cumsum([0, *[len(w) + 1 for w in parts]])
+                cut = [joined[a:b] for a, b in zip(at[starts[i]].tolist(), (at[ends[i] + width - 1] - 1).tolist())]
                 words += cut
                 names += map(digest, cut)
                 ranks.append(chosen.values.field("rank").to_numpy())
@@ -206,65 +208,49 @@ def _cut_segments(live: DataFrame, width: int) -> DataFrame:
     return live.mapInArrow(work, "rank long, s1 long, s2 long, uid long, key long, first int, words binary")
 
 
-def _stream(reference: DataFrame, width: int, shard_words: int, anchor_segments: int) -> DataFrame:
-    """Lowest key per window of each distinct segment; segments of too large anchors are
-    passed on with their words."""
+def _stream(reference: DataFrame, width: int, shard_words: int) -> DataFrame:
+    """Lowest key per window of each distinct segment."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answer(shard: list[tuple]) -> pa.RecordBatch:
             automaton = Automaton()
-            words = [np.frombuffer(r[3], np.uint64).tolist() for r in shard]
+            words = [r[3].split(b" ") for r in shard]
             for r, w in zip(shard, words):
                 automaton.add(w, r[4])
             automaton.settle()
-            return rows([r[:3] for r in shard], [automaton.lowest_keys(w, width) for w in words], [None] * len(shard))
-
-        def rows(names: list[tuple], best: list, left: list) -> pa.RecordBatch:
-            long = pa.int64()
+            best = [automaton.lowest_keys(w, width) for w in words]
             return pa.RecordBatch.from_arrays(
-                [*[pa.array([n[i] for n in names], long) for i in range(3)], pa.array(best, pa.list_(long)), pa.array(left, pa.binary()),
-                 ], ["rank", "s1", "s2", "best", "words"],
+                [*[pa.array([r[i] for r in shard], pa.int64()) for i in range(3)], pa.array(best, pa.list_(pa.int64()))],
+                ["rank", "s1", "s2", "best"],
             )
 
         shard: list[tuple] = []  # whole anchors
-        anchor: list[tuple] = []  # the anchor being read
-        size, large = 0, False
+        size = 0
         for batch in batches:
             for r in zip(*[batch.column(c).to_pylist() for c in ("rank", "s1", "s2", "words", "key")]):
-                if anchor and anchor[0][0] != r[0]:
-                    if not large:
-                        shard += anchor
-                        size += sum(len(a[3]) // 8 for a in anchor)
-                    anchor, large = [], False
-                    if size >= shard_words:
-                        yield answer(shard)
-                        shard, size = [], 0
-                if large:
-                    anchor = [r]
-                    yield rows([r[:3]], [None], [r[3]])
-                    continue
-                anchor.append(r)
-                if len(anchor) > anchor_segments:
-                    yield rows([a[:3] for a in anchor], [None] * len(anchor), [a[3] for a in anchor])
-                    anchor, large = anchor[-1:], True
-        if not large:
-            shard += anchor
+                if size >= shard_words and shard[-1][0] != r[0]:
+                    yield answer(shard)
+                    shard, size = [], 0
+                shard.append(r)
+                size += r[3].count(b" ") + 1
         if shard:
             yield answer(shard)
 
     ordered = reference.select("rank", "s1", "s2", "words", "key").repartition("rank").sortWithinPartitions("rank")
-    return ordered.mapInArrow(work, "rank long, s1 long, s2 long, best array<long>, words binary")
+    return ordered.mapInArrow(work, "rank long, s1 long, s2 long, best array<long>")
 
 
-def _by_window(left: DataFrame, reference: DataFrame, width: int) -> DataFrame:
-    """The same for segments of large anchors: single windows meet by their hash."""
+def _by_window(reference: DataFrame, width: int) -> DataFrame:
+    """The same for segments of crowded anchors: single windows meet by their hash."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for rank, s1, s2, key, words in zip(*[batch.column(c).to_pylist() for c in ("rank", "s1", "s2", "key", "words")]):
-                for n in range(len(words) // 8 - width + 1):
-                    name = np.frombuffer(xxhash.xxh3_128_digest(words[8 * n:8 * (n + width)]), np.int64)
+                parts = words.split(b" ")
+                at = np.cumsum([0, *[len(w) + 1 for w in parts]]).tolist()
+                for n in range(len(parts) - width + 1):
+                    name = np.frombuffer(xxhash.xxh3_128_digest(words[at[n]:at[n + width] - 1]), np.int64)
                     for column, value in zip(out, (rank, s1, s2, key, n, int(name[0]), int(name[1]))):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -272,7 +258,7 @@ def _by_window(left: DataFrame, reference: DataFrame, width: int) -> DataFrame:
             )
 
     names = ["rank", "s1", "s2"]
-    windows = left.join(reference.select(*names, "key"), names).select(*names, "key", "words").mapInArrow(
+    windows = reference.select(*names, "key", "words").mapInArrow(
         work, "rank long, s1 long, s2 long, key long, n long, w1 long, w2 long"
     )
     lowest = windows.groupBy("w1", "w2").agg(F.min("key").alias("lowest"))
@@ -314,11 +300,16 @@ def repeated_windows(
     cut = stage.put(_cut_segments(live, width), "segments")
     names = ["rank", "s1", "s2"]
     reference = stage.put(cut.groupBy(*names).agg(F.min("key").alias("key"), F.first("words").alias("words")), "reference")
-    streamed = stage.put(_stream(reference, width, shard_words, anchor_segments), "streamed")
-    best = streamed.filter("words IS NULL").select(*names, "best")
-    large = streamed.filter("words IS NOT NULL").select(*names, "words")
-    if not large.isEmpty():
-        best = best.unionByName(_by_window(large, reference, width))
+    # Anchors that outgrow a shard: one row per so many segments at most.
+    crowded = stage.put(
+        reference.groupBy("rank").agg(F.count("*").alias("n")).filter(F.col("n") > anchor_segments)
+        .select(F.col("rank").alias("crowd")), "crowded",
+    )
+    marked = keyed_join(reference, crowded, [("rank", "crowd")])
+    streamed = stage.put(_stream(marked.filter("crowd IS NULL"), width, shard_words), "streamed")
+    best = streamed.select(*names, "best")
+    if not crowded.isEmpty():
+        best = best.unionByName(_by_window(marked.filter("crowd IS NOT NULL").drop("crowd"), width))
     # Windows of a document whose lowest key is below its own, as starts.
     hits = cut.select(*names, "uid", "key", "first").join(best, names).select(
         "uid", F.filter(F.transform("best", lambda b, n: F.when(b < F.col("key"), F.col("first") + n)), lambda p: p.isNotNull()).alias("at")
@@ -350,7 +341,7 @@ def repeated_windows(
     verdicts = stage.put(
         found_spans.mapInArrow(verdict, "uid long, n_removed long, kept string, spans array<struct<a:int,b:int>>"), "verdicts"
     )
-    stage.drop(live, cut, reference, streamed)
+    stage.drop(live, cut, reference, streamed, crowded)
     known = classes.join(verdicts, "uid", "left").select("s1", "s2", F.col("key").alias("first_key"), "n_removed", "kept", "spans")
     none = F.array().cast("array<struct<a:int,b:int>>")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n_words").cast("int").alias("b")))
