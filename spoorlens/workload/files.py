@@ -334,17 +334,17 @@ def rejected_values(spark, folder):
     names = [c for c in spoilt.columns if c not in ("_id", "event_type", "value")]
     line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names])
     broken = F.when((kind == "error") & (value < 20), F.concat(line, F.lit(",one,more"))).otherwise(line)
-    # Plain lines, as a writer of CSV would not spoil them; the header is each file's first.
-    text = spoilt.select(broken.alias("value"), kind.alias("kind"))
-    for name in [r[0] for r in text.select("kind").distinct().collect()]:  # five kinds of events
-        head = spark.createDataFrame([(",".join(names),)], "value string").coalesce(1)
-        lines = head.unionByName(text.filter(F.col("kind") == name).select("value")).coalesce(1)
-        lines.write.text(f"{services}/{name}")
+    # Whole lines as one column that the header names: a writer of CSV would not spoil them,
+    # but it puts the header first in every file, whatever the number of tasks.
+    lines = spoilt.filter(kind.isNotNull()).select(broken.alias(",".join(names)), kind.alias("kind"))
+    plain_lines = {"header": True, "sep": "\x01", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(**plain_lines).partitionBy("kind").csv(services)
     writers.write_csv(_raw_stations(spark, folder), stations, single=False)
     writers.write_csv(_raw_disruptions(spark, folder), disruptions, single=False)
     jobs.build_master(spark, f"{services}/*", stations, disruptions, out, rejects_out=rejects)
-    found = quarantine.counts(readers.read_parquet(spark, rejects))
-    return found.withColumn("file", F.regexp_extract("file", r"([^/]+)/[^/]+$", 1))
+    # A kind has a folder with as many files as tasks had rows of it.
+    found = readers.read_parquet(spark, rejects).withColumn("file", F.regexp_extract("file", r"([^/=]+)/[^/]+$", 1))
+    return quarantine.counts(found)
 
 
 def _raw_weather(spark, folder) -> DataFrame:
