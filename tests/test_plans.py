@@ -43,6 +43,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "EqualTo(event_type,view)" in plan(df)
 
 
+def test_whole_keys_are_counted_only_among_hot_first_columns(spark):
+    """Keys of several columns, of which no first column is hot: nothing is exchanged by whole keys."""
+    df = spark.range(600).select((F.col("id") % 40).alias("a"), F.col("id").alias("b"))
+    found = skew.hot_keys(df, ["a", "b"], 20)
+    assert found.count() == 0 and "LeftSemi" in plan(found)
+    more = df.unionByName(spark.range(90).select(F.lit(None).cast("long").alias("a"), (F.col("id") % 3).alias("b")))
+    assert sorted((r["a"], r["b"], r["_fan"]) for r in skew.hot_keys(more, ["a", "b"], 20).collect()) == [(None, b, 2) for b in range(3)]
+
+
 def test_nothing_is_exchanged_after_the_weather_join(spark, folder, monkeypatch):
     """Each stop becomes a row per reading, which go straight to their folders, unsorted."""
     given = spark.range(60).select(
