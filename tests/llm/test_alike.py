@@ -159,3 +159,52 @@ def test_prints_never_tell_alike_sets_apart():
             assert not (told and is_alike)
             apart += told
     assert apart >= 8
+
+
+def test_stage_goes_through_simhash(spark, monkeypatch):
+    """What fingerprints link is taken from them; only what is alike stays linked."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(0, 40, 2):
+        w = [f"w{rng.randrange(9999)}" for _ in range(300)]
+        rows += [(k, " ".join(w)), (k + 1, " ".join([*w, "end"]))]
+    # One shingle many times over gives both the same fingerprint; few of their shingles are the same.
+    rows += [(40, "a a a " * 200 + " ".join(f"x{i}" for i in range(40))), (41, "a a a " * 200 + " ".join(f"y{i}" for i in range(40)))]
+    calls, given = [], alike.simhash.links
+    monkeypatch.setattr(alike.simhash, "links", lambda prints, *a, **k: calls.append(prints.count()) or given(prints, *a, **k))
+    found = []
+    pairs_of = alike._by_fingerprint
+    monkeypatch.setattr(alike, "_by_fingerprint", lambda *a: found.append(pairs_of(*a).collect()) or pairs_of(*a))
+    got = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert calls and len(found[0]) >= 15
+    assert got == brute_firsts(rows) == {*range(0, 42, 2), 41}
+
+
+@pytest.mark.parametrize("few", [0, 8, 100])
+def test_forest_connects_what_is_alike(monkeypatch, few):
+    monkeypatch.setattr(alike, "FEW", few)
+    rng = np.random.default_rng(few)
+    for size in (1, 2, 5, 60):
+        base = rng.integers(-(1 << 62), 1 << 62, 90)
+        sets = [np.unique(np.concatenate((rng.permutation(base)[:rng.integers(78, 91)], rng.integers(0, 1 << 62, rng.integers(0, 12))))) for _ in range(size)]
+        sets += [np.unique(rng.integers(0, 1 << 62, 50)) for _ in range(3)]
+        labels = rng.integers(0, size + 1, len(sets))
+
+        def parts(links):
+            root = list(range(len(sets)))
+
+            def find(i):
+                while root[i] != i:
+                    i = root[i]
+                return i
+
+            same = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if labels[i] == labels[j]]
+            for i, j in [*links, *same]:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+            return [find(i) for i in range(len(sets))]
+
+        links = alike.forest(labels, sets)
+        every = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2)
+                 if 9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (len(sets[i]) + len(sets[j]))]
+        assert set(links) <= {*every, *[(j, i) for i, j in every]}
+        assert parts(links) == parts(every) and len(links) < len(set(labels.tolist()))
