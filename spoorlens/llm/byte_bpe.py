@@ -6,7 +6,9 @@ are recovered from the ranks: the two halves of a token are what is left when th
 of lower rank have been merged. Texts are split by a pattern first and each match is
 merged by itself; a match that is a token as a whole is taken as it is.
 
-``encode`` works on Arrow batches, a bounded number of characters at a time: a long text is
+``encode`` works on Arrow batches. A match is given to the library once and then looked up,
+as the same ones come again and again. Texts with characters that the two readers of the
+pattern may put in different classes are split by the library itself. A long text is
 cut where white space follows something else, which no match of the pattern spans. It
 returns, per row, the ids and where each token starts, as byte and as character (of the
 character that holds its first byte). ``decode`` reverses the byte table. A character may
@@ -25,7 +27,7 @@ import base64
 import codecs
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +41,12 @@ RANKS = "byte_bpe_50k.tiktoken"
 BATCH_CHARS = 1 << 19
 SLICE_BYTES = 8 << 20
 ROWS = 512
+# Matches of which ids are kept, and characters of one; about 60 MB in all.
+KNOWN = 300_000
+KNOWN_CHARS = 64
+# Characters that ``regex`` and the library may class differently, as their Unicode versions
+# differ. All others were compared (test_byte_bpe.py).
+_UNSURE = re.compile("[^\x00-\u052f\u2010-\u208e\u20a0-\ua7cd]")
 # White space after something else: a match of the pattern starts here.
 _CUT = re.compile(r"(?<=\S)[ \n]")
 
@@ -67,10 +75,26 @@ def halves(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes]:
     return parts[0], parts[1]
 
 
+class Known(dict):
+    """Ids of a match, as bytes. Emptied when it has grown large."""
+
+    def __init__(self, encode: Callable[[str], np.ndarray]):
+        self.encode = encode
+
+    def __missing__(self, match: str) -> bytes:
+        ids = self.encode(match).tobytes()
+        if len(match) <= KNOWN_CHARS:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[match] = ids
+        return ids
+
+
 class Codec:
     """Both directions over one vocabulary."""
 
     def __init__(self, path: str, pattern: str):
+        import regex
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -88,6 +112,8 @@ class Codec:
             pre_tokenizers.Split(Regex(pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
         ])
+        self.matches = regex.compile(pattern)
+        self.known = Known(self._encoded)
         # Back again: characters of a token to bytes, by the reversed table.
         bytes_of = {c: b for b, c in enumerate(shown)}
         self.tokens = {i: bytes(bytes_of[c] for c in token) for token, i in self.tokenizer.get_vocab().items()}
@@ -96,37 +122,21 @@ class Codec:
         self.widths = np.array([len(token) for token in by_id], np.int32)
         self.places = np.cumsum(self.widths, dtype=np.int64) - self.widths
 
+    def _encoded(self, text: str) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, np.int32)
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, encoded in calls of bounded size."""
-        parts, owners, held = [], [], 0
-        left = [1] * len(texts)
-        ids: list[list[np.ndarray]] = [[] for _ in texts]
-        done = 0
-
-        def flush():
-            found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-            for owner, encoding in zip(owners, found):
-                ids[owner].append(np.array(encoding.ids, np.int32))
-                left[owner] -= 1
-
-        for i, text in enumerate(texts):
-            cuts = chunks(text)
-            left[i] = len(cuts)
-            for a, b in cuts:
-                parts.append(text[a:b])
-                owners.append(i)
-                held += b - a
-                if held >= BATCH_CHARS:
-                    flush()
-                    parts, owners, held = [], [], 0
-                    while done < i and not left[done]:
-                        yield np.concatenate(ids[done])
-                        ids[done] = []
-                        done += 1
-        if parts:
-            flush()
-        for i in range(done, len(texts)):
-            yield np.concatenate(ids[i])
+        """Ids of each text, a bounded part at a time."""
+        for text in texts:
+            ids = []
+            for a, b in chunks(text):
+                part = text[a:b]
+                if _UNSURE.search(part):
+                    ids.append(self._encoded(part))
+                else:
+                    ids.append(np.frombuffer(b"".join(map(self.known.__getitem__, self.matches.findall(part))), np.int32))
+            yield np.concatenate(ids)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
         """Bytes of each list of ids; the lists lie one after another, with borders ``ends``."""

@@ -100,3 +100,39 @@ def test_split_characters_come_with_the_last_token():
     ids = [single[bytes([b])] for b in "é🙂".encode()]
     assert tool.pieces(ids) == ["", "é", "", "", "", "🙂"]
     assert tool.pieces(ids[:3]) == ["", "é", "�"]
+
+
+class Counting:
+    """A tokenizer that counts the characters given to it."""
+
+    def __init__(self, tool):
+        self.tool, self.chars = tool, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.chars += sum(map(len, texts))
+        return self.tool.encode_batch_fast(texts, **how)
+
+
+def test_a_match_is_encoded_once(other, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "KNOWN", 20)
+    tool = byte_bpe.Codec(*byte_bpe.public_vocabulary())
+    tool.tokenizer = Counting(tool.tokenizer)
+    text = "the same words again, it's 12 times  over\n" * 500
+    (ids,) = tool.encode([text])
+    assert ids.tolist() == other.encode_ordinary(text)
+    assert tool.tokenizer.chars < 100
+    many = " ".join(f"word{i}x" for i in range(300)) + " " + "y" * 500
+    assert [i.tolist() for i in tool.encode([many, many])] == [other.encode_ordinary(many)] * 2
+    assert len(tool.known) <= 20 and max(map(len, tool.known)) <= byte_bpe.KNOWN_CHARS
+
+
+def test_sure_characters_split_the_same():
+    from tokenizers import Regex, pre_tokenizers
+
+    tool = byte_bpe.codec(*byte_bpe.public_vocabulary())
+    split = pre_tokenizers.Split(Regex(public_tokenizers.PATTERN), "isolated")
+    sure = [c for c in map(chr, range(0xD800)) if not byte_bpe._UNSURE.search(c)]
+    assert len(sure) > 30_000
+    for k in range(0, len(sure), 512):
+        text = "".join("a{0}a1{0}!{0} {0}{0}  {0}\n".format(c) for c in sure[k:k + 512])
+        assert [x for x, _ in split.pre_tokenize_str(text)] == tool.matches.findall(text)
