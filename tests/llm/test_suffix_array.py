@@ -92,6 +92,58 @@ def test_equal_rows_lead_for_the_passages_they_share(spark):
     assert got == sorted((str(d), *b) for (d, _), b in zip(rows, brute([t for _, t in rows], 400)))
 
 
+def ends_of_passages():
+    """Passages with other bytes, or some of the same, on either side of them."""
+    rng = random.Random(5)
+    texts = []
+    for k, copies in enumerate([2, 2, 3, 9, 30]):
+        passage = words(rng, 130, [f"w{k}x{i}" for i in range(200)])
+        for c in range(copies):
+            before, after = (words(rng, 40, [f"v{i}" for i in range(500)]) for _ in range(2))
+            cut, more = rng.randint(0, 60), "same here " * (c % 3)
+            texts.append(before + more + passage[cut:len(passage) - rng.randint(0, 60)] + more + after)
+        texts.append(texts[-1])
+    return texts
+
+
+@pytest.mark.parametrize("crowd", [500, 3])
+def test_ends_of_passages_are_told_by_their_sides(spark, monkeypatch, crowd):
+    monkeypatch.setattr(suffix_array, "CROWD", crowd)
+    sorted_alone = []
+
+    def counting(rows, keys, place, stage, carry=()):
+        if place == ["uid", "p"]:
+            sorted_alone.append(rows.count())
+        return rerank(rows, keys, place, stage, carry)
+
+    monkeypatch.setattr(suffix_array, "rerank", counting)
+    texts = ends_of_passages()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_array.repeats(docs).collect()}
+    want = brute(texts, 400)
+    assert got == dict(enumerate(want)) and sum(w[1] > 0 for w in want) > 40
+    # Windows of few places are not hashed one by one.
+    assert len(sorted_alone) == 1
+    if crowd == 500:
+        assert sorted_alone[0] < 1000
+
+
+def test_places_of_a_run_against_all_their_windows():
+    rng = random.Random(3)
+    for turn in range(300):
+        need = rng.randint(1, 12)
+        places = []
+        for _ in range(rng.randint(2, suffix_array.PAIRWISE)):
+            n = rng.randint(1, min(9, need + 1))
+            side = bytes(rng.choice(b"ab" if turn % 2 else b"aaaab") for _ in range(need + n - 1))
+            places.append(suffix_array.Place(rng.randint(n - 1, need), n, side))
+        windows = [{d: (d, x.side[x.d - d:x.d - d + x.need]) for d in range(x.least, x.d + 1)} for x in places]
+        seen = Counter(w for found in windows for w in found.values())
+        suffix_array._meet_all(places)
+        for x, found in zip(places, windows):
+            assert {d for low, high in x.found for d in range(low, high + 1)} == {d for d, w in found.items() if seen[w] > 1}
+
+
 def test_no_documents(spark):
     assert suffix_array.repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
