@@ -128,6 +128,46 @@ def test_ends_of_passages_are_told_by_their_sides(spark, monkeypatch, crowd):
         assert sorted_alone[0] < 1000
 
 
+def test_equal_windows_of_a_stretch_go_on_once(spark, monkeypatch):
+    """Texts that say a few words over and over hold no boundary, or no other ones."""
+    sorted_alone = []
+
+    def counting(rows, keys, place, stage, carry=()):
+        if place == ["uid", "p"]:
+            sorted_alone.append(rows.count())
+        return rerank(rows, keys, place, stage, carry)
+
+    monkeypatch.setattr(suffix_array, "rerank", counting)
+    rng = random.Random(11)
+    texts = ["x" * 3000, "y" * 400, "y" * 401, "z" * 399]
+    for k in range(12):
+        word = "".join(rng.choice("abcdefghé") for _ in range(rng.randint(1, 7))) + " "
+        once = words(rng, 90, [f"u{i}" for i in range(400)])
+        texts += [word * 700, once + word * 300, word * 200 + "!" + word * 200 + once]
+    # What repeats in one text stands for itself in another, and once in a third.
+    texts += [texts[7][:400], "q" + texts[10][3:403] + "q", texts[4][1:450]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_array.repeats(docs).collect()}
+    assert got == dict(enumerate(brute(texts, 400)))
+    assert len(sorted_alone) == 1 and sorted_alone[0] < 25_000, sorted_alone
+
+
+def test_texts_are_judged_in_one_pass(spark, monkeypatch):
+    """Sides, and what is known without them, come from one reading of the texts."""
+    passes = []
+    plain = suffix_array._arrow
+
+    def counting(work, rows, schema):
+        if "text" in rows.columns:
+            passes.append(work.__name__)
+        return plain(work, rows, schema)
+
+    monkeypatch.setattr(suffix_array, "_arrow", counting)
+    docs = spark.createDataFrame(list(enumerate(ends_of_passages())), "doc_id long, text string")
+    assert suffix_array.repeats(docs).filter("n_removed > 0").count() > 40
+    assert len(passes) == 3, passes
+
+
 def test_places_of_a_run_against_all_their_windows():
     rng = random.Random(3)
     for turn in range(300):
