@@ -4,12 +4,15 @@ import datetime
 import glob
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from spoorlens.operators import weather
+from spoorlens.session import staged
 from spoorlens.sources import bucketed, readers, writers
+from spoorlens.workload import files
 
 
 def sides(spark):
@@ -61,3 +64,35 @@ def test_only_months_of_the_stops_are_read(spark, folder):
             with open(name, "wb") as file:
                 file.write(b"no table")
     assert kept.count() == 6
+
+
+@pytest.mark.parametrize("given, kind", [(None, "INT64"), ("INT96", "INT96")])
+def test_times_are_written_in_eight_bytes(spark, folder, given, kind):
+    """As the jobs' own session has it, also in any other session; what the user set stays."""
+    name = "spark.sql.parquet.outputTimestampType"
+    df = spark.range(5).select(F.timestamp_micros(F.col("id") * 86_400_123_457 - 10**15).alias("t"), F.col("id").alias("k"))
+    assert spark.conf.get(name, None) is None
+    if given:
+        spark.conf.set(name, given)
+    try:
+        writers.write_parquet(df, f"{folder}/plain")
+        writers.write_parquet(df, f"{folder}/folders", partitions=["k"], together=False)
+        kept = staged(df, "times")
+        assert spark.conf.get(name, None) == given
+    finally:
+        spark.conf.unset(name)
+    for path in (f"{folder}/plain", f"{folder}/folders", kept.inputFiles()[0].removeprefix("file:")):
+        found = glob.glob(f"{path}/**/*.parquet", recursive=True) or [path]
+        assert {pq.ParquetFile(f).schema.column(0).physical_type for f in found} == {kind}
+    for got in (kept, readers.read_parquet(spark, f"{folder}/plain"), readers.read_parquet(spark, f"{folder}/folders")):
+        assert got.select("t").dtypes == df.select("t").dtypes and rows(got, "t") == rows(df, "t")
+
+
+def test_stop_files_are_dealt_evenly_over_the_cores(spark, folder, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(3 * cores).selectExpr(
+        "id event_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' ts", "id user_id", "'view' event_type", "1.5 value", "'p' props"
+    ).write.parquet(f"{folder}/events.parquet")
+    for a_file, want in ((1, 3 * cores), (2, 2 * cores), (3, cores), (100, cores)):
+        monkeypatch.setattr(files, "ROWS_A_FILE", a_file)
+        assert files._raw_services(spark, folder, spread=True).rdd.getNumPartitions() == want
